@@ -163,9 +163,7 @@ def _landed_columns(df: DataFrame) -> DataFrame:
 
 
 # --- sources ----------------------------------------------------------------------
-CUSTOMER_FILE = StructType.fromDDL(
-    "c_custkey BIGINT, c_name STRING, c_acctbal DECIMAL(12,2), c_mktsegment STRING, c_phone STRING"
-)
+CUSTOMER_FILE = "c_custkey BIGINT, c_name STRING, c_acctbal DECIMAL(12,2), c_mktsegment STRING, c_phone STRING"
 
 
 def csv_scan_typed(m: Model) -> DataFrame:
@@ -181,7 +179,7 @@ def csv_scan_typed(m: Model) -> DataFrame:
     )
     path = scratch_path(m.spark, "csv-scan")
     csv.write_csv(spoilt, path)
-    return csv.read_named(m.spark, path, CUSTOMER_FILE).drop(csv.FILE_COLUMN)
+    return csv.read_named(m.spark, path, StructType.fromDDL(CUSTOMER_FILE)).drop(csv.FILE_COLUMN)
 
 
 def file_fingerprint(m: Model) -> DataFrame:
