@@ -11,6 +11,12 @@ from pyspark.sql import types as T
 NULL_TEXT = "NULL"
 SEPARATOR = "||"
 
+# --- fixed values: the characters Python's str.strip() removes ---------------------
+WHITE_SPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # A run of letters and digits, or a run of anything else.
 _WORDS = r"([\p{L}\p{N}]+|[^\p{L}\p{N}]+)"
 
@@ -43,14 +49,15 @@ def capitalize_words(col: Column) -> Column:
 
 
 # --- hashes ---------------------------------------------------------------------
-def canonical_text(col: Column) -> Column:
+def canonical_text(col: Column, dtype: T.DataType) -> Column:
     """Text of a value with all white space around it removed; NULL becomes ``NULL``."""
-    return F.coalesce(F.regexp_replace(col.cast("string"), r"^\s+|\s+$", ""), F.lit(NULL_TEXT))
+    text = F.btrim(col, F.lit(WHITE_SPACE)) if isinstance(dtype, T.StringType) else col.cast("string")
+    return F.coalesce(text, F.lit(NULL_TEXT))
 
 
-def row_hash(cols: Iterable[Column]) -> Column:
+def row_hash(cols: Iterable[tuple[Column, T.DataType]]) -> Column:
     """MD5 of the canonical texts of a row, the lineage hash of every bronze row."""
-    return F.md5(F.concat_ws(SEPARATOR, *[canonical_text(c) for c in cols]))
+    return F.md5(F.concat_ws(SEPARATOR, *[canonical_text(c, dtype) for c, dtype in cols]))
 
 
 def joined_hash(cols: Iterable[Column]) -> Column:

@@ -20,26 +20,29 @@ def stamp(batch_id: str | None = None, loaded_at: datetime | None = None) -> dic
     }
 
 
-def land(
+def with_lineage(
     df: DataFrame,
     table: str,
     source_system: str,
     batch_id: str | None = None,
     loaded_at: datetime | None = None,
 ) -> DataFrame:
-    """Bronze rows of ``table`` with lineage; duplicate keys inside the batch keep the smallest row.
-
-    The hash covers the business columns the source delivered, in table order.
-    The key winner is picked before the hash is computed, so duplicates are not hashed.
-    """
+    """The delivered business columns of ``table`` plus lineage; the hash covers the business columns."""
     spec: TableSpec = TABLES[table]
     delivered = [c for c in spec.business_columns if c in df.columns]
     file_column = [c for c in ("_file_name",) if c in df.columns]
-    winners = first_per_key(df.select(*delivered, *file_column), spec.keys)
-    return winners.withColumns(
+    return df.select(*delivered, *file_column).withColumns(
         {
             "_source_system": F.lit(source_system),
             **stamp(batch_id, loaded_at),
-            "_row_hash": row_hash([F.col(c) for c in delivered]),
+            "_row_hash": row_hash([(F.col(c), df.schema[c].dataType) for c in delivered]),
         }
     )
+
+
+def land(df: DataFrame, table: str, source_system: str) -> DataFrame:
+    """Bronze rows of a first load: the smallest row of each key, with lineage.
+
+    Key winners are picked before hashing, so duplicates are not hashed.
+    """
+    return with_lineage(first_per_key(df, TABLES[table].keys), table, source_system)

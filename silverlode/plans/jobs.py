@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.operators.keyed import absent_from
+from silverlode.operators.numbering import pin
 from silverlode.operators.quality import raise_on_critical, run_checks, summarize
 from silverlode.plans import bronze, dashboard, gold, silver, taxi
 from silverlode.plans.checks import BRONZE_REFERENCES, BRONZE_RULES
@@ -21,6 +23,7 @@ from silverlode.session import path_exists
 from silverlode.sinks.tables import LoadReport, TableStore
 from silverlode.sources import csv, files, rates
 
+FILE_LOG = "logs.file_ingestion_log"
 STATUS_SCHEMA = "source STRING, table_name STRING, status STRING, reason STRING, rows_read BIGINT, rows_inserted BIGINT"
 
 
@@ -53,78 +56,75 @@ def load_shop_files(store: TableStore, folder: str, batch_id: str, loaded_at: da
 def _land(
     store: TableStore, source: FileSource, rows: DataFrame, batch_id: str, loaded_at: datetime
 ) -> LoadReport:
-    landed = bronze.land(rows, source.table, source.source_system, batch_id, loaded_at)
+    landed = bronze.with_lineage(rows, source.table, source.source_system, batch_id, loaded_at)
     return store.insert_if_absent(source.table, landed)
 
 
 def load_feeds(store: TableStore, landing: str, run_id: str, loaded_at: datetime) -> DataFrame:
     """Load every partner feed: changed files only, one scan per feed, outcome logged per file.
 
-    A feed that fails is reported and does not stop the others.
+    A feed that fails is reported and does not stop the others.  The file log is
+    written after the rows, so a crash in between only means that the files are
+    offered again and insert nothing.
     """
-    outcome = []
+    outcome, logs = [], []
     for feed in PARTNER_FEEDS:
         folder = f"{landing.rstrip('/')}/{feed.location}"
         if not path_exists(store.spark, folder):
             outcome.append((feed.location, feed.table, "skipped", "no_files", 0, 0))
             continue
+        new_files = _new_files(store, feed, folder)
+        if new_files is None:
+            outcome.append((feed.location, feed.table, "skipped", "already_processed", 0, 0))
+            continue
         try:
-            outcome.append(load_feed(store, feed, folder, run_id, loaded_at))
-        except Exception as error:  # noqa: BLE001 - reported in the status frame
+            report, log = load_feed(store, feed, new_files, run_id, loaded_at)
+            outcome.append(
+                (feed.location, feed.table, "success", None, report.rows_attempted, report.rows_inserted)
+            )
+        except Exception as error:  # noqa: BLE001 - reported in the status frame and the file log
             outcome.append((feed.location, feed.table, "failed", str(error)[:500], 0, 0))
+            log = new_files.withColumn("status", F.lit("failed"))
+        logs.append(store.conform(log.withColumn("run_id", F.lit(run_id)), FILE_LOG))
+    if logs:
+        entries = reduce(DataFrame.unionByName, logs)
+        store.upsert(FILE_LOG, entries.withColumn("loaded_at", F.lit(loaded_at).cast("timestamp")))
     return _status(store, outcome)
 
 
-def load_feed(
-    store: TableStore, feed: FileSource, folder: str, run_id: str, loaded_at: datetime
-) -> tuple:
+def _new_files(store: TableStore, feed: FileSource, folder: str) -> DataFrame | None:
+    """The feed's files that the log does not list as processed; None when there are none."""
     found = files.fingerprints(store.spark, folder).withColumn("source_system", F.lit(feed.source_system))
-    log = store.rows("logs.file_ingestion_log")
-    fresh = files.changed_files(found, log)
-    listed = fresh.select("path", "file_name", "file_size_bytes", "file_checksum").collect()
-    if not listed:
-        return (feed.location, feed.table, "skipped", "already_processed", 0, 0)
-    paths = [row.path for row in listed]
-    manifest = store.spark.createDataFrame(
-        [(feed.source_system, r.file_name, r.path, r.file_size_bytes, r.file_checksum) for r in listed],
-        "source_system STRING, file_name STRING, file_path STRING, file_size_bytes BIGINT, file_checksum STRING",
+    columns = "source_system STRING, file_name STRING, file_path STRING, file_size_bytes BIGINT, file_checksum STRING"
+    listed = (
+        files.changed_files(found, store.rows(FILE_LOG))
+        .select("source_system", "file_name", "path", "file_size_bytes", "file_checksum")
+        .collect()
     )
-    try:
-        rows = csv.read_named(store.spark, paths, feed.schema)
-        landed = bronze.land(rows, feed.table, feed.source_system, run_id, loaded_at)
-        report = store.insert_if_absent(feed.table, landed)
-        per_file = rows.groupBy(csv.FILE_COLUMN).agg(F.count(F.lit(1)).alias("rows_loaded"))
-        stored = (
-            store.rows(feed.table)
-            .filter(F.col("_batch_id") == run_id)
-            .groupBy(csv.FILE_COLUMN)
-            .agg(F.count(F.lit(1)).alias("rows_inserted"))
-        )
-        logged = (
-            manifest.join(per_file.withColumnRenamed(csv.FILE_COLUMN, "file_name"), "file_name", "left")
-            .join(stored.withColumnRenamed(csv.FILE_COLUMN, "file_name"), "file_name", "left")
-            .fillna(0, ["rows_loaded", "rows_inserted"])
-        )
-        _log_files(store, logged, "processed", run_id, loaded_at)
-    except Exception:
-        _log_files(store, manifest, "failed", run_id, loaded_at)
-        raise
-    return (feed.location, feed.table, "success", None, report.rows_attempted, report.rows_inserted)
+    return store.spark.createDataFrame(listed, columns) if listed else None
 
 
-def _log_files(
-    store: TableStore, entries: DataFrame, status: str, run_id: str, loaded_at: datetime
-) -> None:
-    store.upsert(
-        "logs.file_ingestion_log",
-        entries.withColumns(
-            {
-                "status": F.lit(status),
-                "loaded_at": F.lit(loaded_at).cast("timestamp"),
-                "run_id": F.lit(run_id),
-            }
-        ),
+def load_feed(
+    store: TableStore, feed: FileSource, new_files: DataFrame, run_id: str, loaded_at: datetime
+) -> tuple[LoadReport, DataFrame]:
+    """Insert the rows of new files; returns the load report and the log entry of every file."""
+    paths = [row.file_path for row in new_files.collect()]
+    rows = csv.read_named(store.spark, paths, feed.schema)
+    landed = bronze.with_lineage(rows, feed.table, feed.source_system, run_id, loaded_at)
+    staged = store.stage(feed.table, landed)
+    fresh = pin(store.fresh_rows(feed.table, staged), "fresh")
+    report = store.insert_fresh(feed.table, staged, fresh)
+    log = (
+        new_files.join(_per_file(staged, "rows_loaded"), "file_name", "left")
+        .join(_per_file(fresh, "rows_inserted"), "file_name", "left")
+        .fillna(0, ["rows_loaded", "rows_inserted"])
+        .withColumn("status", F.lit("processed"))
     )
+    return report, log
+
+
+def _per_file(rows: DataFrame, measure: str) -> DataFrame:
+    return rows.groupBy(F.col(csv.FILE_COLUMN).alias("file_name")).agg(F.count(F.lit(1)).alias(measure))
 
 
 def load_rates(
@@ -140,7 +140,7 @@ def load_rates(
     rows = rates.flatten_payloads(payloads)
     if rows.isEmpty():
         return None, missing
-    landed = bronze.land(rows, "bronze.currency_rates", FX_SOURCE, batch_id, loaded_at)
+    landed = bronze.with_lineage(rows, "bronze.currency_rates", FX_SOURCE, batch_id, loaded_at)
     return store.insert_if_absent("bronze.currency_rates", landed), missing
 
 

@@ -12,11 +12,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.operators.keyed import absent_from, first_per_key, latest_per_key, merge_rows, split_null_keys
+from silverlode.operators.keyed import (
+    absent_from,
+    first_per_key,
+    has_null_key,
+    latest_per_key,
+    merge_rows,
+    split_null_keys,
+)
 from silverlode.operators.numbering import pin
 from silverlode.schemas import TABLES, TableSpec
 from silverlode.session import path_exists
@@ -133,26 +140,38 @@ class TableStore:
         after = self.read(table).count()
         return LoadReport(table, after - before, 0, before, after - before, after)
 
-    def insert_if_absent(self, table: str, df: DataFrame) -> LoadReport:
-        """Insert the rows whose key is not stored yet; the first row of a key wins for good.
+    def stage(self, table: str, df: DataFrame) -> DataFrame:
+        """The batch in table shape, written once; everything after reads this copy."""
+        return pin(self.conform(df, table), "batch")
 
-        Rows with a NULL key are kept in ``<table>_rejects`` instead of failing the load.
-        """
+    def fresh_rows(self, table: str, staged: DataFrame) -> DataFrame:
+        """One row per complete key of the batch that the table does not hold yet."""
         spec = self.tables[table]
-        counted = Observation()
-        offered = self.conform(df, table).observe(counted, F.count(F.lit(1)).alias("rows"))
-        batch = pin(offered, "batch")
-        keyed, unkeyed = split_null_keys(batch, spec.keys)
-        rejected = unkeyed.count()
-        if rejected:
+        keyed, _ = split_null_keys(staged, spec.keys)
+        winners = first_per_key(keyed, spec.keys)
+        return absent_from(winners, self.read(table), spec.keys) if self.exists(table) else winners
+
+    def insert_fresh(self, table: str, staged: DataFrame, fresh: DataFrame) -> LoadReport:
+        """Append ``fresh``; rows of the batch with a NULL key go to ``<table>_rejects``."""
+        spec = self.tables[table]
+        offered = staged.agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(has_null_key(spec.keys)).alias("rejected")
+        ).first()
+        if offered.rejected:
+            _, unkeyed = split_null_keys(staged, spec.keys)
             unkeyed.write.mode("append").parquet(self.path(table) + "_rejects")
         before = self.read(table).count()
-        fresh = first_per_key(keyed, spec.keys)
-        if before:
-            fresh = absent_from(fresh, self.read(table), spec.keys)
         self._write(fresh, table, "append")
         after = self.read(table).count()
-        return LoadReport(table, counted.get["rows"], rejected, before, after - before, after)
+        return LoadReport(table, offered.rows, offered.rejected, before, after - before, after)
+
+    def insert_if_absent(self, table: str, df: DataFrame) -> LoadReport:
+        """Insert the rows whose key is not stored yet; the first row of a key wins for good.
+
+        Rows with a NULL key are set aside instead of failing the load.
+        """
+        staged = self.stage(table, df)
+        return self.insert_fresh(table, staged, self.fresh_rows(table, staged))
 
     def upsert(self, table: str, df: DataFrame, order_by: Sequence[str] = ()) -> LoadReport:
         """Insert or replace by key; inside a batch the greatest ``order_by`` wins.
@@ -161,18 +180,25 @@ class TableStore:
         and replaced.  The merged rows are written aside before the target changes.
         """
         spec = self.tables[table]
-        batch = pin(self._laid_out(self.conform(df, table), table), "batch")
-        keyed, unkeyed = split_null_keys(batch, spec.keys)
-        incoming = latest_per_key(keyed, spec.keys, list(order_by)) if order_by else first_per_key(keyed, spec.keys)
+        staged = pin(self._laid_out(self.conform(df, table), table), "batch")
+        keyed, _ = split_null_keys(staged, spec.keys)
+        winners = latest_per_key(keyed, spec.keys, list(order_by)) if order_by else first_per_key(keyed, spec.keys)
         current = self.read(table)
         before = current.count()
+        measures = [
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(has_null_key(spec.keys)).alias("rejected"),
+        ]
+        if spec.buckets:
+            # At most as many values as the table has buckets.
+            measures.append(F.collect_set(BUCKET).alias("touched"))
+        offered = staged.agg(*measures).first()
         if spec.buckets:
-            touched = [row[BUCKET] for row in keyed.select(BUCKET).distinct().collect()]
-            current = current.filter(F.col(BUCKET).isin(touched))
-        merged = pin(merge_rows(current, incoming, spec.keys), "merged")
+            current = current.filter(F.col(BUCKET).isin(offered.touched))
+        merged = pin(merge_rows(current, winners, spec.keys), "merged")
         self._write(merged.select(*spec.schema.names), table, "overwrite")
         after = self.read(table).count()
-        return LoadReport(table, batch.count(), unkeyed.count(), before, after - before, after)
+        return LoadReport(table, offered.rows, offered.rejected, before, after - before, after)
 
     def replace(self, table: str, df: DataFrame, reads_itself: bool = False) -> LoadReport:
         """Truncate and reload.  A frame that reads the table is written aside first."""

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.plans.bronze import land
+from silverlode.plans.bronze import with_lineage
 from silverlode.schemas import FileSource
 from silverlode.sinks.tables import TableStore
 from silverlode.sources import csv
@@ -41,9 +41,8 @@ def stream_feed(
 
     def write(batch: DataFrame, batch_number: int) -> None:
         batch_id = f"{feed.location}_stream_{batch_number}"
-        store.insert_if_absent(
-            feed.table, land(batch, feed.table, feed.source_system, batch_id, loaded_at)
-        )
+        landed = with_lineage(batch, feed.table, feed.source_system, batch_id, loaded_at)
+        store.insert_if_absent(feed.table, landed)
 
     query = (
         rows.writeStream.foreachBatch(write)
