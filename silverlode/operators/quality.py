@@ -55,7 +55,7 @@ def _with_status(counts: DataFrame) -> DataFrame:
     """Add status and failure percentage to (table, check, type, critical, checked, failed)."""
     failed = F.col("rows_failed") > 0
     status = (
-        F.when(failed & F.col("critical") & (F.col("check_type") != VOLUME), "failed")
+        F.when(failed & F.col("critical"), "failed")
         .when(failed, "warning")
         .otherwise("passed")
     )
