@@ -24,13 +24,18 @@ REFERENTIAL = "referential"
 
 @dataclass(frozen=True)
 class Rule:
-    """``failing`` is a SQL predicate for bad rows; a volume rule has none (fails on an empty table)."""
+    """One check of one table.
+
+    ``failing`` is a SQL predicate for bad rows.  A volume rule has none: it fails on
+    an empty table.  A unique rule names its ``key`` and counts rows beyond the first.
+    """
 
     table: str
     name: str
     kind: str
     critical: bool
     failing: str | None = None
+    key: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -81,22 +86,45 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def check_rules(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
-    """Run row rules and volume rules: one aggregate per table, whatever the number of rules."""
+    """Run row, volume and unique rules: one pass per table, whatever the number of rules.
+
+    A table with a unique rule is counted per key first (combined on the map side),
+    and its other rules ride on the same aggregate.
+    """
     frames = []
-    for table in dict.fromkeys(r.table for r in rules):
+    for table, key in dict.fromkeys((r.table, _key_of(rules, r.table)) for r in rules):
         own = [r for r in rules if r.table == table]
         measures = [F.count(F.lit(1)).alias("_rows")] + [
             F.count_if(F.expr(r.failing)).alias(f"_bad{i}") for i, r in enumerate(own) if r.failing
         ]
-        empty = F.when(F.col("_rows") == 0, 1).otherwise(0)
-        entries = [
-            _entry(r, F.col("_rows"), F.col(f"_bad{i}") if r.failing else empty)
-            for i, r in enumerate(own)
-        ]
-        frames.append(tables[table].agg(*measures).select(F.inline(F.array(*entries))))
+        if key:
+            per_key = tables[table].groupBy(*key).agg(*measures)
+            names = [c for c in per_key.columns if c not in key]
+            totals = per_key.agg(
+                *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names], F.count(F.lit(1)).alias("_keys")
+            )
+        else:
+            totals = tables[table].agg(*measures)
+        entries = [_entry(r, F.col("_rows"), _failed_rows(r, i)) for i, r in enumerate(own)]
+        frames.append(totals.select(F.inline(F.array(*entries))))
     return _with_status(_union(frames))
 
 
+def _key_of(rules: Sequence[Rule], table: str) -> tuple[str, ...]:
+    keys = {r.key for r in rules if r.table == table and r.kind == UNIQUE}
+    if len(keys) > 1:
+        raise ValueError(f"{table}: unique rules over different keys need separate runs")
+    return keys.pop() if keys else ()
+
+
+def _failed_rows(rule: Rule, position: int) -> Column:
+    if rule.kind == UNIQUE:
+        return F.col("_rows") - F.col("_keys")
+    if rule.kind == VOLUME:
+        return F.when(F.col("_rows") == 0, 1).otherwise(0)
+    return F.col(f"_bad{position}")
+
+
 def check_references(tables: Mapping[str, DataFrame], references: Sequence[Reference]) -> DataFrame:
     """Run referential rules; children of one parent share a single join.
 
@@ -130,17 +158,6 @@ def check_references(tables: Mapping[str, DataFrame], references: Sequence[Refer
     return _with_status(_union(frames))
 
 
-def check_unique(df: DataFrame, table: str, keys: Sequence[str], name: str, critical: bool = True) -> DataFrame:
-    """Rows beyond the first of their key; exact, from one count per key."""
-    rule = Rule(table, name, UNIQUE, critical)
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    totals = per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("_rows"), F.count(F.lit(1)).alias("_keys")
-    )
-    entry = _entry(rule, F.col("_rows"), F.col("_rows") - F.col("_keys"))
-    return _with_status(totals.select(F.inline(F.array(entry))))
-
-
 def run_checks(
     tables: Mapping[str, DataFrame], rules: Sequence[Rule], references: Sequence[Reference]
 ) -> DataFrame:

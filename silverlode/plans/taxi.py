@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from silverlode.functions import elapsed_seconds, rounded_double, run_together_hash
 from silverlode.operators.keyed import first_per_key
-from silverlode.operators.quality import RANGE, NULL_CHECK, VOLUME, Rule, check_rules, check_unique
+from silverlode.operators.quality import NULL_CHECK, RANGE, UNIQUE, VOLUME, Rule, check_rules
 from silverlode.schemas import TRIP_HASH_COLUMNS
 
 TRIP_RULES = (
@@ -16,10 +16,12 @@ TRIP_RULES = (
         "taxi.trips", "null_pickup_or_dropoff", NULL_CHECK, True,
         "pickup_datetime IS NULL OR dropoff_datetime IS NULL",
     ),
+    Rule("taxi.trips", "duplicate_trip_hash", UNIQUE, True, key=("trip_hash",)),
 )
 CLEAN_RULES = (
     Rule("taxi.trips_clean", "empty_table", VOLUME, True),
     Rule("taxi.trips_clean", "non_positive_duration", RANGE, True, "trip_duration_minutes <= 0"),
+    Rule("taxi.trips_clean", "duplicate_trip_hash", UNIQUE, True, key=("trip_hash",)),
 )
 
 
@@ -76,12 +78,8 @@ def clean(loaded: DataFrame) -> DataFrame:
 
 
 def gate_trips(loaded: DataFrame) -> DataFrame:
-    return check_rules({"taxi.trips": loaded}, TRIP_RULES).unionByName(
-        check_unique(loaded, "taxi.trips", ["trip_hash"], "duplicate_trip_hash")
-    )
+    return check_rules({"taxi.trips": loaded}, TRIP_RULES)
 
 
 def gate_clean(cleaned: DataFrame) -> DataFrame:
-    return check_rules({"taxi.trips_clean": cleaned}, CLEAN_RULES).unionByName(
-        check_unique(cleaned, "taxi.trips_clean", ["trip_hash"], "duplicate_trip_hash")
-    )
+    return check_rules({"taxi.trips_clean": cleaned}, CLEAN_RULES)

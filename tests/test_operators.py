@@ -26,7 +26,6 @@ from silverlode.operators import (
     top_rows,
     update_columns,
 )
-from silverlode.operators.quality import check_unique
 
 RELAXED = settings(
     max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -190,9 +189,20 @@ def test_references_count_nulls_and_unknown_keys_as_orphans(spark):
     ]
 
 
-def test_unique_check_counts_surplus_rows(spark):
-    got = check_unique(frame(spark, [(1, 0), (1, 1), (2, 0), (1, 2)]), "t", ["k"], "dup_k").first()
-    assert (got.status, got.rows_checked, got.rows_failed) == ("failed", 4, 2)
+def test_unique_rule_counts_surplus_rows_in_the_same_pass(spark):
+    df = frame(spark, [(1, 0), (1, 1), (2, -1), (1, 2)])
+    checked = check_rules({"t": df}, [Rule("t", "dup_k", "unique", True, key=("k",)), RULES[1], RULES[2]])
+    assert rows(checked, "check_name", "status", "rows_checked", "rows_failed") == [
+        ("bad_v", "warning", 4, 1),
+        ("dup_k", "failed", 4, 2),
+        ("empty_table", "passed", 4, 0),
+    ]
+    assert checked._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+def test_unique_rule_on_an_empty_table(spark):
+    got = check_rules({"t": frame(spark, [])}, [Rule("t", "dup_k", "unique", True, key=("k",)), RULES[2]])
+    assert rows(got, "check_name", "status", "rows_failed") == [("dup_k", "passed", 0), ("empty_table", "warning", 1)]
 
 
 def test_critical_failure_stops_the_run(spark):

@@ -353,7 +353,7 @@ def dq_summary(m: Model) -> DataFrame:
 
 
 def taxi_dq(m: Model) -> DataFrame:
-    loaded = m.taxi_trips()
+    loaded = pin(m.taxi_trips(), "trips")
     return _results(taxi.gate_trips(loaded).unionByName(taxi.gate_clean(taxi.clean(loaded))))
 
 
@@ -374,9 +374,10 @@ def taxi_rejects(m: Model) -> DataFrame:
 
 # --- dashboard -------------------------------------------------------------------------
 def dash_top_products(m: Model) -> DataFrame:
+    """Reads the product dimension and its KPI table as stored, as a dashboard does."""
     named = pin(m.dim_products_named(), "dim-products")
     performance = gold.product_performance(named, m.fact_order_items(), m.fact_returns())
-    return dashboard.top_products(performance, named)
+    return dashboard.top_products(pin(performance, "product-performance"), named)
 
 
 QUERIES: dict[str, Callable[[Model], DataFrame]] = {
