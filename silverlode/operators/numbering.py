@@ -53,7 +53,9 @@ def number_rows(
     )
     rows = pin(sliced, "numbered").withColumn("_slice", F.shiftright("_seq", _PARTITION_SHIFT))
 
-    # At most one entry per slice plus one per group, so this window stays small.
+    # At most one entry per slice plus one per group, so this window stays small.  The
+    # offsets are stored as well: their size is then known before the join is planned,
+    # and the rows are not shuffled when it is below the broadcast threshold.
     before = (
         Window.partitionBy(*group_by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -63,6 +65,6 @@ def number_rows(
         .withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .drop("_rows")
     )
-    numbered = rows.join(offsets, [*group_by, "_slice"])
+    numbered = rows.join(pin(offsets, "offsets"), [*group_by, "_slice"])
     number = F.lit(after) + F.col("_offset") + F.col("_seq") - F.col("_first") + F.lit(1)
     return numbered.select(*df.columns, number.cast("bigint").alias(column))

@@ -125,8 +125,9 @@ def name_products(dimension: DataFrame) -> DataFrame:
 def fact_order_items(silver_items: DataFrame, silver_orders: DataFrame) -> DataFrame:
     """Items with their order's purchase date; items without an order drop out.
 
-    Both sides shuffle on the order id.  An order with very many items is split by
-    AQE's skew join: nothing after the join relies on its partitioning.
+    ``silver_orders`` should be a stored table: its size then decides for a broadcast
+    or a shuffle, and AQE's skew join can split an order with very many items (it does
+    so only when each side is shuffled for the join itself, not for an aggregate).
     """
     purchase = silver_orders.select(
         "order_id", F.to_date("order_purchase_timestamp").alias("order_purchase_date")

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from silverlode.functions import lenient_cast
 from silverlode.operators.keyed import first_per_key
+from silverlode.operators.numbering import pin
 
 FILE_COLUMN = "_file_name"
 
@@ -105,8 +106,11 @@ def _read_mixed(
     )
     is_header = reduce(lambda a, b: a & b, [F.array_contains("_cells", m) for m in markers])
     is_header = F.coalesce(is_header, F.lit(False))
-    headers = first_per_key(
-        raw.filter(is_header).select("_path", F.col("_cells").alias("_names")), ["_path"]
+    # Stored, so the planner knows the size: few files are broadcast, and with very many
+    # the shuffle join can still split the rows of one dominant file.
+    headers = pin(
+        first_per_key(raw.filter(is_header).select("_path", F.col("_cells").alias("_names")), ["_path"]),
+        "headers",
     )
     rows = raw.filter(~is_header).join(headers, "_path", "left")
 

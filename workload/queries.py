@@ -97,8 +97,12 @@ class Model(Inputs):
     def dim_products_named(self):
         return gold.name_products(gold.product_rows(self.silver_products()))
 
+    def stored_order_dates(self):
+        """What the item facts read from the stored silver orders."""
+        return pin(self.silver_orders().select("order_id", "order_purchase_timestamp"), "silver-orders")
+
     def fact_order_items(self):
-        return gold.fact_order_items(self.silver_order_items(), self.silver_orders())
+        return gold.fact_order_items(self.silver_order_items(), self.stored_order_dates())
 
     def fact_orders(self):
         return gold.fact_orders(self.silver_orders(), self.silver_order_items(), self.silver_returns())
@@ -276,7 +280,7 @@ def insert_if_absent(m: Model) -> DataFrame:
     items = m.order_items()
     stored = items.filter(F.col("shipping_limit_date") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
     keys = TABLES["bronze.order_items"].keys
-    return absent_from(first_per_key(items, keys), stored, keys)
+    return absent_from(first_per_key(items, keys), first_per_key(stored, keys), keys)
 
 
 def insert_twice(m: Model) -> DataFrame:
