@@ -113,18 +113,27 @@ def elapsed_seconds(start: Column, end: Column) -> Column:
     return (end - start).cast("interval second").cast("decimal(18,6)")
 
 
-def calendar_parts(day: Column) -> dict[str, Column]:
-    """Calendar attributes of a date; ISO week, Monday = 1 ... Sunday = 7."""
+def calendar_parts(day: Column, padded: bool = False) -> dict[str, Column]:
+    """Calendar attributes of a date; ISO week, Monday = 1 ... Sunday = 7.
+
+    ``padded`` fills month and day names with blanks to 9 characters, as some SQL
+    dialects print them.
+    """
     iso_day = (F.weekday(day) + 1).cast("int")
+
+    def name(pattern: str) -> Column:
+        text = F.date_format(day, pattern)
+        return F.rpad(text, 9, " ") if padded else text
+
     return {
         "year": F.year(day),
         "quarter": F.quarter(day),
         "month": F.month(day),
-        "month_name": F.date_format(day, "MMMM"),
+        "month_name": name("MMMM"),
         "week_of_year": F.weekofyear(day),
         "day_of_month": F.dayofmonth(day),
         "day_of_week": iso_day,
-        "day_name": F.date_format(day, "EEEE"),
+        "day_name": name("EEEE"),
         "is_weekend": iso_day.isin(6, 7),
     }
 

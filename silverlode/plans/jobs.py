@@ -33,7 +33,7 @@ def _status(store: TableStore, rows: list[tuple]) -> DataFrame:
 
 # --- bronze -------------------------------------------------------------------------
 def load_shop_files(store: TableStore, folder: str, batch_id: str, loaded_at: datetime) -> DataFrame:
-    """Load the one-file-per-table CSVs; a missing or empty file is reported and skipped."""
+    """Load the one-file-per-table CSVs; missing and empty files are reported and skipped, missing columns noted."""
     if not path_exists(store.spark, folder):
         raise FileNotFoundError(f"raw folder not found: {folder}")
     outcome = []
@@ -46,9 +46,11 @@ def load_shop_files(store: TableStore, folder: str, batch_id: str, loaded_at: da
         if rows.isEmpty():
             outcome.append((source.location, source.table, "skipped", "empty_file", 0, 0))
             continue
+        absent = csv.missing_columns(csv.header_of(store.spark, [path]), source.schema)
+        note = f"missing columns: {', '.join(absent)}" if absent else None
         report = _land(store, source, rows, batch_id, loaded_at)
         outcome.append(
-            (source.location, source.table, report.status, None, report.rows_attempted, report.rows_inserted)
+            (source.location, source.table, report.status, note, report.rows_attempted, report.rows_inserted)
         )
     return _status(store, outcome)
 
@@ -107,11 +109,24 @@ def _new_files(store: TableStore, feed: FileSource, folder: str) -> DataFrame |
 def load_feed(
     store: TableStore, feed: FileSource, new_files: DataFrame, run_id: str, loaded_at: datetime
 ) -> tuple[LoadReport, DataFrame]:
-    """Insert the rows of new files; returns the load report and the log entry of every file."""
+    """Insert the rows of new files; returns the load report and the log entry of every file.
+
+    Files are read in one scan with a common header; if their headers differ, every
+    row is resolved through the header of its own file instead.
+    """
     paths = [row.file_path for row in new_files.collect()]
-    rows = csv.read_named(store.spark, paths, feed.schema)
-    landed = bronze.with_lineage(rows, feed.table, feed.source_system, run_id, loaded_at)
-    staged = store.stage(feed.table, landed)
+
+    def staged_rows(header_markers: tuple[str, ...] = ()) -> DataFrame:
+        rows = csv.read_named(store.spark, paths, feed.schema, header_markers)
+        landed = bronze.with_lineage(rows, feed.table, feed.source_system, run_id, loaded_at)
+        return store.stage(feed.table, landed)
+
+    try:
+        staged = staged_rows()
+    except Exception as error:  # noqa: BLE001 - only a header mismatch is handled here
+        if csv.HEADER_MISMATCH not in str(error):
+            raise
+        staged = staged_rows(feed.spec.keys)
     fresh = pin(store.fresh_rows(feed.table, staged), "fresh")
     report = store.insert_fresh(feed.table, staged, fresh)
     log = (
@@ -332,10 +347,11 @@ def load_trips(
             store.spark, [row.path for row in fresh], _trip_schema(TABLES["taxi.trips_raw"].schema)
         )
     )
-    report = store.insert_if_absent(
+    batch = store.stage(
         "taxi.trips", taxi.hashed(staged).withColumn("loaded_at", F.lit(loaded_at).cast("timestamp"))
     )
-    counts = staged.groupBy(F.col("source_file").alias("filename")).agg(
+    report = store.insert_fresh("taxi.trips", batch, store.fresh_rows("taxi.trips", batch))
+    counts = batch.groupBy(F.col("source_file").alias("filename")).agg(
         F.count(F.lit(1)).alias("rows_staged")
     )
     manifest = store.spark.createDataFrame(

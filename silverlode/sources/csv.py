@@ -20,6 +20,9 @@ from silverlode.operators.numbering import pin
 
 FILE_COLUMN = "_file_name"
 
+# Part of Spark's message when a file's header differs from the scan's schema.
+HEADER_MISMATCH = "CSV header"
+
 # Widest file the mixed-header scan accepts.
 MAX_COLUMNS = 128
 
@@ -52,8 +55,9 @@ def cast_by_name(raw: DataFrame, schema: T.StructType, keep: Sequence[str] = ())
     )
 
 
-def missing_columns(raw: DataFrame, schema: T.StructType) -> list[str]:
-    return [f.name for f in schema if f.name not in raw.columns]
+def missing_columns(header: Sequence[str], schema: T.StructType) -> list[str]:
+    """Expected columns that a file does not deliver."""
+    return [name for name in schema.names if name not in header]
 
 
 def read_named(

@@ -99,6 +99,8 @@ def test_calendar_parts_iso(spark):
     ).first()
     assert (row.week_of_year, row.day_of_week, row.is_weekend) == (52, 7, True)
     assert (row.month_name, row.day_name, row.quarter) == ("January", "Sunday", 1)
+    padded = fn.calendar_parts(F.col("d"), padded=True)["day_name"]
+    assert one(spark, padded, "d DATE", date(2023, 1, 1)) == "Sunday   "
 
 
 @pytest.mark.parametrize(

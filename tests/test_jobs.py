@@ -187,34 +187,64 @@ def test_platform_run_and_rerun(spark, store, tmp_path):
 def test_missing_and_empty_shop_files_are_skipped(store, tmp_path):
     header = SHOP["customers.csv"].splitlines()[0] + "\n"
     folder = write(tmp_path / "shop", {"customers.csv": header, "orders.csv": SHOP["orders.csv"]})
+    (tmp_path / "shop" / "products.csv").write_text("product_id,product_category_name\np1,toys\n")
     got = jobs.load_shop_files(store, folder, "b1", NOW)
     assert rows(got, "source", "status", "reason") == [
         ("customers.csv", "skipped", "empty_file"),
         ("order_items.csv", "skipped", "file_not_found"),
         ("orders.csv", "success", None),
-        ("products.csv", "skipped", "file_not_found"),
+        (
+            "products.csv",
+            "success",
+            "missing columns: product_name_lenght, product_description_lenght, product_photos_qty, "
+            "product_weight_g, product_length_cm, product_height_cm, product_width_cm",
+        ),
     ]
     with pytest.raises(FileNotFoundError):
         jobs.load_shop_files(store, str(tmp_path / "nowhere"), "b1", NOW)
 
 
-def test_a_bad_feed_does_not_stop_the_others(store, tmp_path):
+def test_files_with_other_headers_load_by_name_and_headerless_rows_are_rejected(store, tmp_path):
+    reordered = "file_date,status,order_id,status_timestamp\n2024-01-09,shipped,o7,2024-01-09 00:00:00\n"
     feeds = write(
         tmp_path / "feeds",
-        {
-            "order_status/a.csv": STATUS,
-            "order_status/b.csv": "status,order_id\nx,o1\n",
-            "returns/r.csv": RETURNS,
-        },
+        {"order_status/a.csv": STATUS, "order_status/b.csv": reordered, "order_status/c.csv": "x,y\n1,2\n"},
     )
     got = jobs.load_feeds(store, feeds, "run-1", NOW)
-    assert rows(got, "source", "status") == [
-        ("inventory", "skipped"),
-        ("order_status", "failed"),
-        ("returns", "success"),
+    assert rows(got.filter("source = 'order_status'"), "status", "rows_read", "rows_inserted") == [("success", 6, 4)]
+    o7 = store.rows("bronze.order_status").filter("order_id = 'o7'").first()
+    assert (o7.status, o7.file_date, o7._file_name) == ("shipped", date(2024, 1, 9), "b.csv")
+    assert rows(store.rows("logs.file_ingestion_log"), "file_name", "rows_loaded", "rows_inserted") == [
+        ("a.csv", 3, 3),
+        ("b.csv", 1, 1),
+        ("c.csv", 2, 0),
     ]
-    log = rows(store.rows("logs.file_ingestion_log"), "file_name", "status")
-    assert log == [("a.csv", "failed"), ("b.csv", "failed"), ("r.csv", "processed")]
+
+
+def test_a_failing_feed_is_logged_and_does_not_stop_the_others(store, tmp_path, monkeypatch):
+    feeds = write(tmp_path / "feeds", {"order_status/a.csv": STATUS, "returns/r.csv": RETURNS})
+    read = jobs.csv.read_named
+
+    def broken(spark, paths, *args):
+        if "order_status" in paths[0]:
+            raise OSError("disk gone")
+        return read(spark, paths, *args)
+
+    monkeypatch.setattr(jobs.csv, "read_named", broken)
+    got = jobs.load_feeds(store, feeds, "run-1", NOW)
+    assert rows(got, "source", "status", "reason") == [
+        ("inventory", "skipped", "no_files"),
+        ("order_status", "failed", "disk gone"),
+        ("returns", "success", None),
+    ]
+    assert rows(store.rows("logs.file_ingestion_log"), "file_name", "status") == [
+        ("a.csv", "failed"),
+        ("r.csv", "processed"),
+    ]
+    # A failed file is offered again by the next run.
+    monkeypatch.undo()
+    again = jobs.load_feeds(store, feeds, "run-2", NOW)
+    assert rows(again.filter("source = 'order_status'"), "status", "rows_inserted") == [("success", 3)]
 
 
 def test_readiness_fails_on_empty_gold(store):

@@ -41,13 +41,13 @@ def test_named_scan_of_a_header_only_file_is_empty(spark, tmp_path):
 
 
 def test_missing_columns_are_listed(spark, tmp_path):
-    raw = spark.read.option("header", True).csv(write(tmp_path / "m.csv", "id,note\n1,x\n"))
-    assert csv.missing_columns(raw, ITEMS) == ["price", "absent"]
+    header = csv.header_of(spark, [write(tmp_path / "m.csv", "id,note\n1,x\n")])
+    assert csv.missing_columns(header, ITEMS) == ["price", "absent"]
 
 
 def test_different_headers_raise_instead_of_shifting(spark, tmp_path):
     paths = [write(tmp_path / "a.csv", "id,price\n1,2\n"), write(tmp_path / "b.csv", "price,id\n4,3\n")]
-    with pytest.raises(Exception, match="CSV header"):
+    with pytest.raises(Exception, match=csv.HEADER_MISMATCH):
         csv.read_named(spark, paths, ITEMS).collect()
 
 

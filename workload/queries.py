@@ -19,6 +19,7 @@ from silverlode.operators import (
     run_checks,
     running_delta,
     summarize,
+    update_columns,
 )
 from silverlode.plans import bronze, dashboard, gold, silver, taxi
 from silverlode.plans.checks import BRONZE_REFERENCES, BRONZE_RULES
@@ -332,6 +333,12 @@ def new_files_only(m: Model) -> DataFrame:
     return files.changed_files(redelivered, manifest)
 
 
+def update_from(m: Model) -> DataFrame:
+    """List prices raised to the highest price sold; products never sold keep theirs."""
+    sold = m.order_items().groupBy("product_id").agg(F.max("price").alias("price"))
+    return update_columns(m.products().select("product_id", "product_name", "price"), sold, ["product_id"], ["price"])
+
+
 def load_delta(m: Model) -> DataFrame:
     counts = m.trips().groupBy("source_file").agg(F.count(F.lit(1)).alias("added"))
     return running_delta(counts, "source_file", "added")
@@ -401,6 +408,7 @@ QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "upsert_manifest": upsert_manifest,
     "upsert_stored": upsert_stored,
     "new_files_only": new_files_only,
+    "update_from": update_from,
     "load_delta": load_delta,
     # taxi
     "taxi_stage": lambda m: m.taxi_stage().select(*TRIP_OUTPUT),
