@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.operators.keyed import absent_from
 from silverlode.operators.numbering import pin
 from silverlode.operators.quality import raise_on_critical, run_checks, summarize
 from silverlode.plans import bronze, dashboard, gold, silver, taxi
@@ -197,16 +196,28 @@ def record_checks(
 
 
 # --- silver and gold ----------------------------------------------------------------
-def _pending(store: TableStore, source: str, target: str, policy: str) -> DataFrame:
-    """Source rows still to be transformed: under insert-if-absent, only keys the target lacks."""
+def _pending(store: TableStore, source: str, target: str, policy: str) -> DataFrame | None:
+    """Source rows to transform: under insert-if-absent those whose key the target lacks.
+
+    Only key columns are compared, and only the rows behind the pending keys are
+    read on.  A small increment is a broadcast semi-join over a scan of the source,
+    so neither table's full rows are shuffled.  None when nothing is pending.
+    """
     rows = store.rows(source)
-    if policy == "upsert":
+    if policy == "upsert" or not store.exists(target):
         return rows
-    return absent_from(rows, store.rows(target), TABLES[target].keys)
+    keys = list(TABLES[target].keys)
+    stored = store.rows(target).select(*keys)
+    pending = pin(rows.select(*keys).join(stored, keys, "left_anti"), "pending-keys")
+    return None if pending.isEmpty() else rows.join(pending, keys, "left_semi")
 
 
-def _publish(store: TableStore, table: str, df: DataFrame, policy: str) -> LoadReport:
-    return store.upsert(table, df) if policy == "upsert" else store.insert_if_absent(table, df)
+def _publish(store: TableStore, table: str, df: DataFrame | None, policy: str) -> LoadReport:
+    """Write transformed pending rows: their keys are unique and new, so an append is enough."""
+    if df is None:
+        rows = store.read(table).count()
+        return LoadReport(table, 0, 0, rows, 0, rows)
+    return store.upsert(table, df) if policy == "upsert" else store.append(table, df)
 
 
 def build_silver(
@@ -224,21 +235,24 @@ def build_silver(
         ("bronze.order_items", "silver.order_items", silver.order_items),
         ("bronze.returns", "silver.returns", silver.returns),
         ("bronze.inventory_snapshots", "silver.inventory", silver.inventory),
-        ("bronze.currency_rates", "silver.currency_rates", silver.currency_rates),
-    ]
-    return [
-        _publish(
-            store,
-            target,
-            transform(_pending(store, source, target, policy)).withColumns(bronze.stamp(batch_id, loaded_at)),
-            policy,
-        )
-        for source, target, transform in steps
     ]
+    stamp = bronze.stamp(batch_id, loaded_at)
+    reports = []
+    for source, target, transform in steps:
+        rows = _pending(store, source, target, policy)
+        cleaned = None if rows is None else transform(rows).withColumns(stamp)
+        reports.append(_publish(store, target, cleaned, policy))
+    # Currency codes change case in silver, so bronze keys cannot tell what is pending.
+    quotes = silver.currency_rates(store.rows("bronze.currency_rates")).withColumns(stamp)
+    write = store.upsert if policy == "upsert" else store.insert_if_absent
+    return [*reports, write("silver.currency_rates", quotes)]
 
 
 def build_gold(
-    store: TableStore, as_of: date, loaded_at: datetime, policy: str = "insert_if_absent",
+    store: TableStore,
+    as_of: date,
+    loaded_at: datetime,
+    policy: str = "insert_if_absent",
     keep_snapshots: bool = False,
 ) -> list[LoadReport]:
     """Star schema first, then the KPI tables that read it.
@@ -247,35 +261,37 @@ def build_gold(
     day instead of only the latest.
     """
     loaded = {"_loaded_at": F.lit(loaded_at).cast("timestamp")}
-
-    def last_key(table: str, column: str) -> int:
-        return store.rows(table).agg(F.coalesce(F.max(column), F.lit(0))).first()[0]
-
     orders = store.rows("silver.orders")
-    reports = [store.insert_if_absent("gold.dim_date", gold.dim_date(orders))]
-
-    new_customers = _pending(store, "silver.customers", "gold.dim_customers", "insert_if_absent")
-    customers = gold.dim_customers(new_customers, last_key("gold.dim_customers", "customer_sk"))
-    reports.append(store.insert_if_absent("gold.dim_customers", customers.withColumns(loaded)))
 
-    new_products = _pending(store, "silver.products", "gold.dim_products", "insert_if_absent")
-    products = gold.dim_products(new_products, last_key("gold.dim_products", "product_sk"))
-    reports.append(store.insert_if_absent("gold.dim_products", products.withColumns(loaded)))
+    def dimension(source: str, table: str, key: str, build) -> LoadReport:
+        """New dimension rows get the surrogate keys after the highest stored one."""
+        rows = _pending(store, source, table, "insert_if_absent")
+        if rows is None:
+            return _publish(store, table, None, "insert_if_absent")
+        last = store.rows(table).agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+        return store.append(table, build(rows, last).withColumns(loaded))
+
+    def fact(source: str, table: str, build) -> LoadReport:
+        rows = _pending(store, source, table, policy)
+        return _publish(store, table, None if rows is None else build(rows).withColumns(loaded), policy)
+
+    reports = [
+        store.insert_if_absent("gold.dim_date", gold.dim_date(orders)),
+        dimension("silver.customers", "gold.dim_customers", "customer_sk", gold.dim_customers),
+        dimension("silver.products", "gold.dim_products", "product_sk", gold.dim_products),
+    ]
     named = gold.name_products(store.rows("gold.dim_products"))
     store.replace("gold.dim_products", named, reads_itself=True)
 
-    items = gold.fact_order_items(
-        _pending(store, "silver.order_items", "gold.fact_order_items", policy), orders
-    )
-    reports.append(_publish(store, "gold.fact_order_items", items.withColumns(loaded), policy))
-    order_facts = gold.fact_orders(
-        _pending(store, "silver.orders", "gold.fact_orders", policy),
-        store.rows("silver.order_items"),
-        store.rows("silver.returns"),
-    )
-    reports.append(_publish(store, "gold.fact_orders", order_facts.withColumns(loaded), policy))
-    return_facts = gold.fact_returns(_pending(store, "silver.returns", "gold.fact_returns", policy))
-    reports.append(_publish(store, "gold.fact_returns", return_facts.withColumns(loaded), policy))
+    reports += [
+        fact("silver.order_items", "gold.fact_order_items", lambda rows: gold.fact_order_items(rows, orders)),
+        fact(
+            "silver.orders",
+            "gold.fact_orders",
+            lambda rows: gold.fact_orders(rows, store.rows("silver.order_items"), store.rows("silver.returns")),
+        ),
+        fact("silver.returns", "gold.fact_returns", gold.fact_returns),
+    ]
 
     facts = store.rows("gold.fact_orders")
     returned = store.rows("gold.fact_returns")
