@@ -3,7 +3,6 @@
 from silverlode.functions.columns import (
     blank_to_null,
     calendar_parts,
-    canonical_text,
     capitalize_words,
     clean_lower,
     clean_upper,
@@ -11,6 +10,7 @@ from silverlode.functions.columns import (
     joined_hash,
     lenient_cast,
     number_text,
+    quoted,
     ratio,
     rounded_double,
     row_hash,
@@ -21,7 +21,6 @@ from silverlode.functions.columns import (
 __all__ = [
     "blank_to_null",
     "calendar_parts",
-    "canonical_text",
     "capitalize_words",
     "clean_lower",
     "clean_upper",
@@ -29,6 +28,7 @@ __all__ = [
     "joined_hash",
     "lenient_cast",
     "number_text",
+    "quoted",
     "ratio",
     "rounded_double",
     "row_hash",

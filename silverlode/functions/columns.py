@@ -49,22 +49,29 @@ def capitalize_words(col: Column) -> Column:
 
 
 # --- hashes ---------------------------------------------------------------------
-def canonical_text(col: Column, dtype: T.DataType) -> Column:
+# The hashes cover many columns, so they are given by name and built as one SQL
+# expression: one call to the JVM instead of several per column.
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _canonical_text(name: str, dtype: T.DataType) -> str:
     """Text of a value with all white space around it removed; NULL becomes ``NULL``."""
-    text = F.btrim(col, F.lit(WHITE_SPACE)) if isinstance(dtype, T.StringType) else col.cast("string")
-    return F.coalesce(text, F.lit(NULL_TEXT))
+    col = quoted(name)
+    text = f"btrim({col}, '{WHITE_SPACE}')" if isinstance(dtype, T.StringType) else f"CAST({col} AS STRING)"
+    return f"coalesce({text}, '{NULL_TEXT}')"
 
 
-def row_hash(cols: Iterable[tuple[Column, T.DataType]]) -> Column:
+def row_hash(fields: Iterable[T.StructField]) -> Column:
     """MD5 of the canonical texts of a row, the lineage hash of every bronze row."""
-    return F.md5(F.concat_ws(SEPARATOR, *[canonical_text(c, dtype) for c, dtype in cols]))
+    texts = ", ".join(_canonical_text(f.name, f.dataType) for f in fields)
+    return F.expr(f"md5(concat_ws('{SEPARATOR}', {texts}))")
 
 
-def joined_hash(cols: Iterable[Column]) -> Column:
+def joined_hash(names: Iterable[str]) -> Column:
     """MD5 of the values as they are (no trimming), NULL written as ``NULL``."""
-    return F.md5(
-        F.concat_ws(SEPARATOR, *[F.coalesce(c.cast("string"), F.lit(NULL_TEXT)) for c in cols])
-    )
+    texts = ", ".join(f"coalesce(CAST({quoted(n)} AS STRING), '{NULL_TEXT}')" for n in names)
+    return F.expr(f"md5(concat_ws('{SEPARATOR}', {texts}))")
 
 
 def number_text(col: Column) -> Column:

@@ -13,18 +13,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silverlode.functions import quoted
 
-def _rest(df: DataFrame, keys: Sequence[str]) -> list[str]:
-    return [c for c in df.columns if c not in keys]
+
+def _winner(df: DataFrame, keys: Sequence[str], pick: str, fields: Sequence[str]) -> DataFrame:
+    """The ``pick`` (min or max) of the struct of ``fields`` per key, unpacked again."""
+    row = ", ".join(quoted(c) for c in fields)
+    winner = df.groupBy(*keys).agg(F.expr(f"{pick}(struct({row}))").alias("_winner"))
+    return winner.selectExpr(
+        *[quoted(c) if c in keys else f"_winner.{quoted(c)} AS {quoted(c)}" for c in df.columns]
+    )
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by all other columns, in column order, NULL first."""
-    rest = _rest(df, keys)
-    if not rest:
-        return df.select(*keys).distinct()
-    winner = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_winner"))
-    return winner.select(*[F.col(c) if c in keys else F.col(f"_winner.{c}").alias(c) for c in df.columns])
+    rest = [c for c in df.columns if c not in keys]
+    return _winner(df, keys, "min", rest) if rest else df.select(*keys).distinct()
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
@@ -33,9 +37,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     The lateral ``ORDER BY ... DESC LIMIT 1`` lookup as an aggregate: no sort per
     key, and the result is hash-partitioned on the key for the join that follows.
     """
-    tail = [c for c in _rest(df, keys) if c not in order_by]
-    winner = df.groupBy(*keys).agg(F.max(F.struct(*order_by, *tail)).alias("_winner"))
-    return winner.select(*[F.col(c) if c in keys else F.col(f"_winner.{c}").alias(c) for c in df.columns])
+    tail = [c for c in df.columns if c not in keys and c not in order_by]
+    return _winner(df, keys, "max", [*order_by, *tail])
 
 
 def absent_from(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -30,12 +30,12 @@ def with_lineage(
     """The delivered business columns of ``table`` plus lineage; the hash covers the business columns."""
     spec: TableSpec = TABLES[table]
     delivered = [c for c in spec.business_columns if c in df.columns]
-    file_column = [c for c in ("_file_name",) if c in df.columns]
-    return df.select(*delivered, *file_column).withColumns(
+    df = df.select(*delivered, *[c for c in ("_file_name",) if c in df.columns])
+    return df.withColumns(
         {
             "_source_system": F.lit(source_system),
             **stamp(batch_id, loaded_at),
-            "_row_hash": row_hash([(F.col(c), df.schema[c].dataType) for c in delivered]),
+            "_row_hash": row_hash(f for f in df.schema if f.name in delivered),
         }
     )
 

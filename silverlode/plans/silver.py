@@ -20,7 +20,7 @@ def _lineage(source_system: str, *hashed: str) -> dict:
     """The silver hash covers the bronze values as delivered, before cleaning."""
     return {
         "_source_system": F.lit(source_system),
-        "_row_hash": joined_hash([F.col(c) for c in hashed]),
+        "_row_hash": joined_hash(hashed),
     }
 
 

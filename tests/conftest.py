@@ -13,7 +13,7 @@ from silverlode.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"}
+        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.default.parallelism": "4", "spark.ui.enabled": "false"}
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -35,10 +35,13 @@ def test_blank_to_null(spark):
     assert one(spark, fn.blank_to_null(F.col("s")), "s STRING", " UPS ") == "UPS"
 
 
+def fields(ddl):
+    return T.StructType.fromDDL(ddl).fields
+
+
 def test_row_hash_trims_and_marks_nulls(spark):
-    text = T.StringType()
-    column = fn.row_hash([(F.col("a"), text), (F.col("b"), text), (F.col("n"), T.IntegerType())])
-    value = one(spark, column, "a STRING, b STRING, n INT", "\t x \n", None, 7)
+    ddl = "a STRING, b STRING, n INT"
+    value = one(spark, fn.row_hash(fields(ddl)), ddl, "\t x \n", None, 7)
     assert value == hashlib.md5(b"x||NULL||7").hexdigest()
 
 
@@ -49,12 +52,12 @@ def test_row_hash_equals_python_strip(spark, values):
     if not values:
         return
     frame = spark.createDataFrame([(v,) for v in values], "s STRING")
-    got = [r[0] for r in frame.select(fn.row_hash([(F.col("s"), T.StringType())])).collect()]
+    got = [r[0] for r in frame.select(fn.row_hash(frame.schema)).collect()]
     assert got == [hashlib.md5(v.strip().encode()).hexdigest() for v in values]
 
 
 def test_joined_hash_keeps_blanks(spark):
-    value = one(spark, fn.joined_hash([F.col("a"), F.col("b")]), "a STRING, b STRING", " x ", None)
+    value = one(spark, fn.joined_hash(["a", "b"]), "a STRING, b STRING", " x ", None)
     assert value == hashlib.md5(b" x ||NULL").hexdigest()
 
 

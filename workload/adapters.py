@@ -9,15 +9,11 @@ adapters in SQL.
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.sources.rates import TARGET_CURRENCIES
 
-MONEY = "decimal(12,2)"
-
 
 class Inputs:
     """Lazy access to the tables of one folder and to the adapters over them."""
@@ -25,167 +21,136 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # --- shop files -----------------------------------------------------------
     def orders(self) -> DataFrame:
-        placed = F.col("o_orderdate")
-        finished = F.col("o_orderstatus") == "F"
-        return self.table("orders").select(
-            _text("o_orderkey").alias("order_id"),
-            _text("o_custkey").alias("customer_id"),
-            F.when(finished, " Delivered ")
-            .when(F.col("o_orderstatus") == "O", "shipped")
-            .otherwise("Canceled")
-            .alias("order_status"),
-            placed.alias("order_purchase_timestamp"),
-            (placed + F.expr("interval 1 hour")).alias("order_approved_at"),
-            F.when(finished, placed + F.expr("interval 1 day")).alias("order_delivered_carrier_date"),
-            F.when(finished, placed + _days(F.col("o_orderkey") % 15)).alias("order_delivered_customer_date"),
-            (placed + F.expr("interval 7 days")).alias("order_estimated_delivery_date"),
+        return self.table("orders").selectExpr(
+            "string(o_orderkey) AS order_id",
+            "string(o_custkey) AS customer_id",
+            "decode(o_orderstatus, 'F', ' Delivered ', 'O', 'shipped', 'Canceled') AS order_status",
+            "o_orderdate AS order_purchase_timestamp",
+            "o_orderdate + interval 1 hour AS order_approved_at",
+            "if(o_orderstatus = 'F', o_orderdate + interval 1 day, NULL) AS order_delivered_carrier_date",
+            "if(o_orderstatus = 'F', o_orderdate + make_dt_interval(int(o_orderkey % 15)), NULL)"
+            " AS order_delivered_customer_date",
+            "o_orderdate + interval 7 days AS order_estimated_delivery_date",
         )
 
     def order_items(self) -> DataFrame:
-        return self.table("lineitem").select(
-            _text("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("order_item_id"),
-            _text("l_partkey").alias("product_id"),
-            _text("l_suppkey").alias("seller_id"),
-            F.col("l_shipdate").alias("shipping_limit_date"),
-            F.col("l_extendedprice").cast(MONEY).alias("price"),
-            F.col("l_quantity").cast(MONEY).alias("freight_value"),
-            F.when(F.col("l_linenumber") != 3, F.col("l_discount"))
-            .cast("decimal(5,4)")
-            .alias("discount_rate"),
+        return self.table("lineitem").selectExpr(
+            "string(l_orderkey) AS order_id",
+            "l_linenumber AS order_item_id",
+            "string(l_partkey) AS product_id",
+            "string(l_suppkey) AS seller_id",
+            "l_shipdate AS shipping_limit_date",
+            "CAST(l_extendedprice AS DECIMAL(12,2)) AS price",
+            "CAST(l_quantity AS DECIMAL(12,2)) AS freight_value",
+            "CAST(if(l_linenumber = 3, NULL, l_discount) AS DECIMAL(5,4)) AS discount_rate",
         )
 
     def customers(self) -> DataFrame:
-        nation = self.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-        return self.table("customer").join(nation, "c_nationkey").select(
-            _text("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("customer_unique_id"),
-            F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("customer_zip_code_prefix"),
-            F.concat(F.lit("  "), F.lower("n_name"), F.lit("' city ")).alias("customer_city"),
-            F.concat(F.lit(" "), F.lower(F.left("c_mktsegment", F.lit(2)))).alias("customer_state"),
+        nation = self.table("nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
+        return self.table("customer").join(nation, "c_nationkey").selectExpr(
+            "string(c_custkey) AS customer_id",
+            "c_name AS customer_unique_id",
+            "lpad(string(c_nationkey), 5, '0') AS customer_zip_code_prefix",
+            "concat('  ', lower(n_name), '\\' city ') AS customer_city",
+            "concat(' ', lower(left(c_mktsegment, 2))) AS customer_state",
         )
 
     def products(self) -> DataFrame:
-        kind = F.col("p_type")
-        category = (
-            F.when(kind == "ECONOMY", " Electronics")
-            .when(kind == "LARGE", "Furniture ")
-            .when(kind == "MEDIUM", "Fashion")
-            .when(kind == "PROMO", "toys")
-            .when(kind == "SMALL", "Home_Goods")
-        )
-        return self.table("part").select(
-            _text("p_partkey").alias("product_id"),
-            category.alias("product_category_name"),
-            F.length("p_name").alias("product_name_lenght"),
-            F.lit(None).cast("int").alias("product_description_lenght"),
-            (F.col("p_size") % 5).alias("product_photos_qty"),
-            F.col("p_size").cast(MONEY).alias("product_weight_g"),
-            F.lit(None).cast(MONEY).alias("product_length_cm"),
-            F.lit(None).cast(MONEY).alias("product_height_cm"),
-            F.lit(None).cast(MONEY).alias("product_width_cm"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_brand").alias("product_brand"),
-            F.lit(None).cast(MONEY).alias("cost"),
-            F.col("p_retailprice").cast(MONEY).alias("price"),
+        return self.table("part").selectExpr(
+            "string(p_partkey) AS product_id",
+            "decode(p_type, 'ECONOMY', ' Electronics', 'LARGE', 'Furniture ', 'MEDIUM', 'Fashion',"
+            " 'PROMO', 'toys', 'SMALL', 'Home_Goods') AS product_category_name",
+            "length(p_name) AS product_name_lenght",
+            "int(NULL) AS product_description_lenght",
+            "p_size % 5 AS product_photos_qty",
+            "CAST(p_size AS DECIMAL(12,2)) AS product_weight_g",
+            "CAST(NULL AS DECIMAL(12,2)) AS product_length_cm",
+            "CAST(NULL AS DECIMAL(12,2)) AS product_height_cm",
+            "CAST(NULL AS DECIMAL(12,2)) AS product_width_cm",
+            "p_name AS product_name",
+            "p_brand AS product_brand",
+            "CAST(NULL AS DECIMAL(12,2)) AS cost",
+            "CAST(p_retailprice AS DECIMAL(12,2)) AS price",
         )
 
     # --- partner feeds ----------------------------------------------------------
     def order_status(self) -> DataFrame:
-        event, kind = F.col("event_id"), F.col("event_type")
-        moving = kind.isin("view", "click", "purchase")
-        return self.table("events").select(
-            F.when(event % 97 == 0, F.concat(F.lit("missing-"), _text("event_id")))
-            .otherwise(F.floor(event / 2).cast("string"))
-            .alias("order_id"),
-            F.when(kind == "signup", "pending")
-            .when(kind == "view", "shipped")
-            .when(kind == "click", "in_transit")
-            .when(kind == "purchase", "Delivered")
-            .otherwise("cancelled")
-            .alias("status"),
-            F.col("ts").alias("status_timestamp"),
-            F.when(moving, " UPS ").otherwise("").alias("carrier"),
-            F.when(moving, F.concat(F.lit("TRK"), _text("user_id"))).otherwise("  ").alias("tracking_number"),
-            F.concat(F.lit("WH-"), F.lpad(_number(event % 12 + 1), 2, "0")).alias("warehouse_id"),
-            F.lit(None).cast("string").alias("notes"),
-            F.lit("carrier_hub").alias("source_system"),
-            F.to_date("ts").alias("file_date"),
+        moving = "event_type IN ('view', 'click', 'purchase')"
+        return self.table("events").selectExpr(
+            "if(event_id % 97 = 0, concat('missing-', event_id), string(event_id div 2)) AS order_id",
+            "decode(event_type, 'signup', 'pending', 'view', 'shipped', 'click', 'in_transit',"
+            " 'purchase', 'Delivered', 'cancelled') AS status",
+            "ts AS status_timestamp",
+            f"if({moving}, ' UPS ', '') AS carrier",
+            f"if({moving}, concat('TRK', user_id), '  ') AS tracking_number",
+            "concat('WH-', lpad(string(event_id % 12 + 1), 2, '0')) AS warehouse_id",
+            "string(NULL) AS notes",
+            "'carrier_hub' AS source_system",
+            "date(ts) AS file_date",
         )
 
     def returns(self) -> DataFrame:
-        reason = F.col("l_suppkey") % 4
-        return self.table("lineitem").filter(F.col("l_returnflag") == "R").select(
-            F.concat_ws("-", F.lit("RET"), _text("l_orderkey"), _text("l_linenumber")).alias("return_id"),
-            _text("l_orderkey").alias("order_id"),
-            _text("l_partkey").alias("product_id"),
-            F.to_date("l_shipdate").alias("return_date"),
-            F.when(reason == 0, " Defective")
-            .when(reason == 1, "wrong_item")
-            .when(reason == 2, "CHANGED_MIND ")
-            .alias("return_reason"),
-            F.col("l_quantity").cast(MONEY).alias("refund_amount"),
-            F.lit(" usd ").alias("refund_currency"),
-            F.lit("Approved ").alias("return_status"),
-            (F.lit(1) + F.col("l_linenumber") % 3).alias("quantity"),
-            F.lit("returns_desk").alias("source_system"),
-            F.to_date("l_shipdate").alias("file_date"),
+        return self.table("lineitem").filter("l_returnflag = 'R'").selectExpr(
+            "concat_ws('-', 'RET', l_orderkey, l_linenumber) AS return_id",
+            "string(l_orderkey) AS order_id",
+            "string(l_partkey) AS product_id",
+            "date(l_shipdate) AS return_date",
+            "decode(l_suppkey % 4, 0, ' Defective', 1, 'wrong_item', 2, 'CHANGED_MIND ') AS return_reason",
+            "CAST(l_quantity AS DECIMAL(12,2)) AS refund_amount",
+            "' usd ' AS refund_currency",
+            "'Approved ' AS return_status",
+            "1 + l_linenumber % 3 AS quantity",
+            "'returns_desk' AS source_system",
+            "date(l_shipdate) AS file_date",
         )
 
     def inventory(self) -> DataFrame:
-        on_hand = F.col("p_size") * 11 % 600
-        reserved = (F.col("p_partkey") % 20).cast("int")
-        days = F.array(F.lit(date(2024, 1, 15)), F.lit(date(2024, 2, 15)))
-        return self.table("part").select(
-            _text("p_partkey").alias("product_id"),
-            F.concat(F.lit("WH-"), F.lpad(_number(F.col("p_partkey") % 12 + 1), 2, "0")).alias("warehouse_id"),
-            F.explode(days).alias("snapshot_date"),
-            on_hand.alias("quantity_on_hand"),
-            reserved.alias("quantity_reserved"),
-            (on_hand - reserved).alias("quantity_available"),
-            (F.lit(10) + F.col("p_partkey") % 90).cast("int").alias("reorder_point"),
-            F.lit(" Toys ").alias("category"),
-            (on_hand - reserved <= 0).alias("is_stockout"),
-            F.lit("warehouse").alias("source_system"),
+        return self.table("part").selectExpr(
+            "string(p_partkey) AS product_id",
+            "concat('WH-', lpad(string(p_partkey % 12 + 1), 2, '0')) AS warehouse_id",
+            "explode(array(date'2024-01-15', date'2024-02-15')) AS snapshot_date",
+            "p_size * 11 % 600 AS quantity_on_hand",
+            "int(p_partkey % 20) AS quantity_reserved",
+            "p_size * 11 % 600 - int(p_partkey % 20) AS quantity_available",
+            "int(10 + p_partkey % 90) AS reorder_point",
+            "' Toys ' AS category",
+            "p_size * 11 % 600 <= p_partkey % 20 AS is_stockout",
+            "'warehouse' AS source_system",
         ).withColumn("file_date", F.col("snapshot_date"))
 
     # --- taxi files -------------------------------------------------------------
     def trips(self) -> DataFrame:
         """Every event as a trip of ``a.csv``; purchases are delivered again in ``b.csv``."""
-        event, value = F.col("event_id"), F.col("value")
-        ride = F.floor(value * 10) - 5
-        files = F.when(F.col("event_type") == "purchase", F.array(F.lit("a.csv"), F.lit("b.csv"))).otherwise(
-            F.array(F.lit("a.csv"))
-        )
-        fare = F.when(event % 53 == 0, -value).otherwise(value)
-        unknown = F.lit(None).cast("double")
-        return self.table("events").select(
-            F.when(event % 101 != 0, F.lit(1) + event % 2).cast("int").alias("vendorid"),
-            F.col("ts").alias("pickup_datetime"),
-            (F.col("ts") + F.make_dt_interval(secs=ride)).alias("dropoff_datetime"),
-            (F.col("user_id") % 6).cast("int").alias("passenger_count"),
-            (value / 8).alias("trip_distance"),
-            unknown.alias("pickup_longitude"),
-            unknown.alias("pickup_latitude"),
-            F.lit(1).alias("ratecodeid"),
-            F.lit("N").alias("store_and_fwd_flag"),
-            unknown.alias("dropoff_longitude"),
-            unknown.alias("dropoff_latitude"),
-            F.when(event % 2 == 0, "cash").otherwise("card").alias("payment_type"),
-            fare.alias("fare_amount"),
-            F.lit(0.5).alias("extra"),
-            F.lit(0.5).alias("mta_tax"),
-            (value / 4).alias("tip_amount"),
-            F.lit(0.0).alias("tolls_amount"),
-            F.lit(0.3).alias("improvement_surcharge"),
-            (value * 2).alias("total_amount"),
-            F.explode(files).alias("source_file"),
+        return self.table("events").selectExpr(
+            "int(if(event_id % 101 = 0, NULL, 1 + event_id % 2)) AS vendorid",
+            "ts AS pickup_datetime",
+            "ts + make_dt_interval(0, 0, 0, floor(value * 10) - 5) AS dropoff_datetime",
+            "int(user_id % 6) AS passenger_count",
+            "value / 8 AS trip_distance",
+            "double(NULL) AS pickup_longitude",
+            "double(NULL) AS pickup_latitude",
+            "1 AS ratecodeid",
+            "'N' AS store_and_fwd_flag",
+            "double(NULL) AS dropoff_longitude",
+            "double(NULL) AS dropoff_latitude",
+            "if(event_id % 2 = 0, 'cash', 'card') AS payment_type",
+            "if(event_id % 53 = 0, -value, value) AS fare_amount",
+            "double(0.5) AS extra",
+            "double(0.5) AS mta_tax",
+            "value / 4 AS tip_amount",
+            "double(0) AS tolls_amount",
+            "double(0.3) AS improvement_surcharge",
+            "value * 2 AS total_amount",
+            "explode(if(event_type = 'purchase', array('a.csv', 'b.csv'), array('a.csv'))) AS source_file",
         )
 
     # --- exchange rates -----------------------------------------------------------
@@ -244,15 +209,3 @@ class Inputs:
                 "rows_loaded",
             )
         )
-
-
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
-def _number(col: Column) -> Column:
-    return col.cast("string")
-
-
-def _days(col: Column) -> Column:
-    return F.make_dt_interval(days=col.cast("int"))
