@@ -114,10 +114,10 @@ def test_number_rows_spreads_a_hot_group_over_tasks(spark):
     try:
         hot = spark.range(20000).select(F.lit("hot").alias("g"), F.col("id").cast("string").alias("k"))
         sliced = number_rows(hot, ["k"], "n", group_by=["g"])
-        files = len(sliced.inputFiles())
+        slices = [f for f in sliced.inputFiles() if "/numbered-" in f]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert files == 4
+    assert len(slices) == 4
     assert sliced.agg(F.max("n"), F.count_distinct("n")).first() == (20000, 20000)
 
 
