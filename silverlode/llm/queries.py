@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import lengths, mixing, neardup, packing, passages, quality, token_files, toxicity
+from silverlode.llm import lengths, mixing, neardup, neighbours, packing, passages, quality, quotes, token_files, toxicity
 from silverlode.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", F.coalesce(cut_words, F.lit(0)).alias("n_cut_words"), "passages", "text")
 
 
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,10 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_plan(table(spark, sf_dir, "documents"))
 
 
+def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,9 +58,11 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_rules": op2_quality_rules,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_nn_descent": op4_nn_descent,
     "op5_packing": op5_packing,
     "op6_token_files": op6_token_files,
     "op7_source_mixing": op7_source_mixing,
+    "op8_quotation_linking": op8_quotation_linking,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_length_histogram": op10_length_histogram,
 }
