@@ -27,7 +27,7 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 BLOCK = 1024
 # Ids gathered before a row is written; a longer document is a row by itself.
-ROW_IDS = 262_144
+ROW_IDS = 131_072
 #: Fixed values: (ids, bits) of selectors 15, 14, ... 2.
 LAYOUT = ((1, 60), (2, 30), (3, 20), (4, 15), (5, 12), (6, 10), (7, 8), (8, 7), (10, 6), (12, 5), (15, 4), (20, 3), (30, 2), (60, 1))
 _FILE_ROW = "part int, row int, n_ids long, doc_ids array<long>, lengths array<long>, blocks array<long>, words binary"

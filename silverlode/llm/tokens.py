@@ -1,24 +1,27 @@
 """Token ids of whole texts through the ``tokenizers`` library, with a cache of text chunks.
 
-Both tokenizers cut a text at white space before they merge bytes, so a chunk (a
-word with the space before it, or a run of white space) has the same ids wherever it
-stands.  Chunks are encoded once per worker and looked up afterwards; the cache is
-emptied at ``CACHE_SIZE`` entries, which changes time, never ids.
+Both tokenizers cut a text into runs of letters, digits and marks before they merge
+bytes, so such a run has the same ids wherever it stands.  Runs are encoded once per
+worker and looked up afterwards; the cache is emptied at ``CACHE_SIZE`` entries, which
+changes time, never ids.  Texts with characters outside the Latin blocks, for which the
+two libraries may class characters differently, are encoded directly.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
+from collections.abc import Iterator
 
-import numpy as np
-
-CACHE_SIZE = 400_000
+CACHE_SIZE = 1_000_000
 LONGEST_CACHED = 64
-# The library and Python disagree on whether these are white space.
-_ODD = re.compile("[\x1c-\x1f]")
-# For byte-level BPE a single space belongs to the word behind it.
-_WITH_SPACE = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+PIECE_CHARS = 300_000
+# Control characters 1C to 1F are white space to one library only.
+_ODD = re.compile("[^\x00-\x1b\x20-ɏ‐-‧€]")
+# For byte-level BPE a single space belongs to the run behind it.
+_WITH_SPACE = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W_]+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
+_NO_SPACE = re.compile(r"'(?:[stmd]|re|ve|ll)|[^\W_]+|(?:[^\w\s]|_)+")
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -35,29 +38,42 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _chunks(self, text: str) -> list[str] | None:
+        if _ODD.search(text):
+            return None
+        return _WITH_SPACE.findall(text) if self.keeps_space else _NO_SPACE.findall(text.lower())
+
+    def _piece(self, texts: list[str]) -> Iterator[bytes]:
+        chunked = [self._chunks(t) for t in texts]
+        seen: set[str] = set()
+        for chunks in chunked:
+            if chunks:
+                seen.update(chunks)
+        if len(self.cache) > CACHE_SIZE:
+            self.cache.clear()
+        # The piece's own few entries stay close to the processor.
+        own = {c: self.cache.get(c) for c in seen}
+        new = [c for c, ids in own.items() if ids is None]
+        fresh = dict(zip(new, self._encode(new)))
+        own.update(fresh)
+        self.cache.update((c, ids) for c, ids in fresh.items() if len(c) <= LONGEST_CACHED)
+        of = own.__getitem__
+        for text, chunks in zip(texts, chunked):
+            yield self._encode([text])[0] if chunks is None else b"".join(map(of, chunks))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids per text (null: empty) as little-endian unsigned 32-bit integers."""
-        cut = _WITH_SPACE.findall if self.keeps_space else str.split
-        cache = self.cache
-        if len(cache) > CACHE_SIZE:
-            cache.clear()
-        out: list[bytes | None] = []
+        out: list[bytes] = []
+        held, size = [], 0
         for text in texts:
-            text = text or ""
-            if _ODD.search(text):
-                out.append(self._encode([text])[0])
-                continue
-            chunks = cut(text)
-            ids = list(map(cache.get, chunks))
-            if None in ids:
-                new = list({c for c, i in zip(chunks, ids) if i is None})
-                fresh = dict(zip(new, self._encode(new)))
-                ids = [fresh[c] if i is None else i for c, i in zip(chunks, ids)]
-                cache.update((c, i) for c, i in fresh.items() if len(c) <= LONGEST_CACHED)
-            out.append(b"".join(ids))
-        return out
+            held.append(text or "")
+            size += len(held[-1])
+            if size >= PIECE_CHARS:
+                out += self._piece(held)
+                held, size = [], 0
+        return out + list(self._piece(held))
 
 
 def encoder(path: str) -> Encoder:
