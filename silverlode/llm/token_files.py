@@ -25,7 +25,7 @@ from silverlode.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
-BLOCK = 1024
+BLOCK = 256
 # Ids gathered before a row is written; a longer document is a row by itself.
 ROW_IDS = 131_072
 #: Fixed values: (ids, bits) of selectors 15, 14, ... 2.
@@ -33,8 +33,13 @@ LAYOUT = ((1, 60), (2, 30), (3, 20), (4, 15), (5, 12), (6, 10), (7, 8), (8, 7),
 _FILE_ROW = "part int, row int, n_ids long, doc_ids array<long>, lengths array<long>, blocks array<long>, words binary"
 
 
+_SMALL_BITS = np.array([v.bit_length() for v in range(1 << 16)], np.uint8)
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
-    return np.searchsorted(np.uint64(1) << np.arange(64, dtype=np.uint64), values, "right")
+    if values.max() < len(_SMALL_BITS):
+        return _SMALL_BITS[values]
+    return np.searchsorted(np.uint64(1) << np.arange(64, dtype=np.uint64), values, "right").astype(np.uint8)
 
 
 def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
@@ -46,13 +51,25 @@ def encode(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarr
     index = np.arange(n)
     end = np.minimum((index // block + 1) * block, n)
     bits = _bits(values)
-    choice = np.zeros(n, np.int64)
+    # A row per block, filled up with zeros, which fit everywhere.
+    square = np.zeros((-(-n // block), block), np.uint8)
+    square.ravel()[:n] = bits
+    choice = np.zeros(square.shape, np.int8)
+    most = int(bits.max())
     for k, (count, width) in enumerate(LAYOUT):
-        wide = np.where(bits > width, index, n)
-        fits = np.minimum.accumulate(wide[::-1])[::-1] >= np.minimum(index + count, end)
+        if most <= width:
+            choice[:] = k
+            continue
+        wide = np.zeros((len(square), block + 1), np.int32)
+        np.cumsum(square > width, axis=1, out=wide[:, 1:])
+        fits = np.empty(square.shape, bool)
+        body = max(0, block + 1 - count)
+        fits[:, :body] = wide[:, count:][:, :body] == wide[:, :body]
+        fits[:, body:] = wide[:, -1:] == wide[:, body:block]
         if not fits.any():
             break
         choice[fits] = k
+    choice = choice.ravel()[:n]
     step = np.minimum(np.array([c for c, _ in LAYOUT])[choice], end - index)
     # All blocks advance together, a word each time.
     at, taken = np.arange(0, n, block), []
