@@ -15,9 +15,13 @@ WITH numbered AS (
 ), worded AS (
     SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM numbered
 ), spots AS (
-    SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM worded WHERE len(w) >= 6
+    SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM worded
+), grams AS (
+    SELECT r, i, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS gram,
+        lead(word, 4) OVER o IS NOT NULL AS whole
+    FROM spots WINDOW o AS (PARTITION BY r ORDER BY i)
 ), windows AS (
-    SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(w[i : i + 4], ' ')) AS n FROM spots
+    SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM grams WHERE whole
 ), repeated AS (
     SELECT r, count(DISTINCT i + j) AS n FROM windows, range(0, 5) AS step(j) WHERE n > 1 GROUP BY r
 ), base AS (
