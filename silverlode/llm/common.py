@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from silverlode.session import scratch_path
 
-ROWS_PER_BATCH = 2000
+ROWS_PER_BATCH = 1000
 
 
 def prepare(spark: SparkSession) -> None:

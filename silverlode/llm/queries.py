@@ -34,8 +34,7 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = token_files.round_trip(table(spark, sf_dir, "documents"))
-    return read.select("doc_id", "start", "n_tokens", token_files.ids_crc32("ids").alias("ids_crc32"))
+    return token_files.round_trip(table(spark, sf_dir, "documents"), digests=True)
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

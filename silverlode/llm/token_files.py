@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from silverlode.llm.common import store
 from silverlode.llm.tokens import encoder, tokenizer_path
@@ -166,27 +165,32 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
     ordered.drop("n").mapInArrow(_write_rows(tokenizer or tokenizer_path(TOKENIZER), end_id), _FILE_ROW).write.parquet(path)
 
 
-def _read_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for doc_ids, lengths, blocks, words, base in zip(
-            *(batch.column(c).to_pylist() for c in ("doc_ids", "lengths", "blocks", "words", "base"))
-        ):
-            ends = np.cumsum(lengths)
-            ids = decode(np.frombuffer(words, "<u8"), np.array(blocks, np.int64), int(ends[-1])).astype("<u4")
-            starts = ends - lengths
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(doc_ids, pa.int64()),
-                    pa.array(starts + base, pa.int64()),
-                    pa.array(lengths, pa.int64()),
-                    pa.array([ids[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                ],
-                ["doc_id", "start", "n_tokens", "ids"],
-            )
+def _read_rows(digests: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_ids, lengths, blocks, words, base in zip(
+                *(batch.column(c).to_pylist() for c in ("doc_ids", "lengths", "blocks", "words", "base"))
+            ):
+                ends = np.cumsum(lengths)
+                ids = decode(np.frombuffer(words, "<u8"), np.array(blocks, np.int64), int(ends[-1])).astype("<u4")
+                starts = ends - lengths
+                parts = [ids[a:b] for a, b in zip(starts, ends)]
+                last = (
+                    pa.array([zlib.crc32(p) for p in parts], pa.int64()) if digests else pa.array([p.tobytes() for p in parts], pa.binary())
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc_ids, pa.int64()), pa.array(starts + base, pa.int64()), pa.array(lengths, pa.int64()), last],
+                    ["doc_id", "start", "n_tokens", "ids_crc32" if digests else "ids"],
+                )
+
+    return run
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """(``doc_id``, ``start``, ``n_tokens``, ``ids``) of a file set; ``ids`` are 32-bit little-endian."""
+def read_token_files(spark: SparkSession, path: str, digests: bool = False) -> DataFrame:
+    """(``doc_id``, ``start``, ``n_tokens``, ``ids``) of a file set; ``ids`` are 32-bit little-endian.
+
+    With ``digests`` their ``ids_crc32`` stands in place of ``ids``.
+    """
     rows = spark.read.schema(_FILE_ROW).parquet(path)
     parts = rows.groupBy("part", "row").agg(F.sum("n_ids").alias("n"))
     slices = parts.groupBy("part").agg(F.sum("n").alias("n"))
@@ -200,17 +204,12 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
         "bases",
     )
     return rows.join(bases, ["part", "row"]).select("doc_ids", "lengths", "blocks", "words", "base").mapInArrow(
-        _read_rows, "doc_id long, start long, n_tokens long, ids binary"
+        _read_rows(digests), "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digests else "ids binary")
     )
 
 
-def round_trip(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, digests: bool = False) -> DataFrame:
     """Write ``docs`` to new files in the shared folder and read them back."""
     path = scratch_path(docs.sparkSession, "token-files")
     write_token_files(docs, path, tokenizer, end_id)
-    return read_token_files(docs.sparkSession, path)
-
-
-@F.arrow_udf(LongType())
-def ids_crc32(ids: pa.Array) -> pa.Array:
-    return pa.array([zlib.crc32(i) for i in ids.to_pylist()], pa.int64())
+    return read_token_files(docs.sparkSession, path, digests)

@@ -14,9 +14,9 @@ import re
 from array import array
 from collections.abc import Iterator
 
-CACHE_SIZE = 1_000_000
+CACHE_SIZE = 600_000
 LONGEST_CACHED = 64
-PIECE_CHARS = 300_000
+PIECE_CHARS = 600_000
 # Control characters 1C to 1F are white space to one library only.
 _ODD = re.compile("[^\x00-\x1b\x20-ɏ‐-‧€]")
 # For byte-level BPE a single space belongs to the run behind it.
