@@ -115,8 +115,9 @@ def name_products(dimension: DataFrame) -> DataFrame:
         dimension.filter(known), ["product_id"], "_rank", group_by=["product_category_name"]
     )
     pool = _name_pool(F.col("product_category_name"))
+    rank = F.col("_rank").cast("string")
     pick = F.element_at(pool, (F.lit(1) + F.pmod(F.col("_rank") - 1, F.size(pool))).cast("int"))
-    label = F.concat(pick, F.lit(" #"), F.lpad(F.col("_rank").cast("string"), 3, "0"))
+    label = F.concat(pick, F.lit(" #"), F.lpad(rank, F.greatest(F.lit(3), F.length(rank)), F.lit("0")))
     named = ranked.withColumn("product_name", label).drop("_rank")
     return named.unionByName(dimension.filter(~known))
 
@@ -208,16 +209,16 @@ def daily_sales_summary(orders: DataFrame) -> DataFrame:
         orders.filter(F.col("order_purchase_date").isNotNull())
         .groupBy(F.col("order_purchase_date").alias("sales_date"))
         .agg(
-            n.cast("int").alias("total_orders"),
-            F.count_if("is_delivered").cast("int").alias("delivered_orders"),
-            F.count_if("is_cancelled").cast("int").alias("cancelled_orders"),
-            F.count_if("is_delayed").cast("int").alias("delayed_orders"),
-            sum_or_zero(F.col("order_item_count"), "int").alias("total_items"),
+            n.cast("bigint").alias("total_orders"),
+            F.count_if("is_delivered").cast("bigint").alias("delivered_orders"),
+            F.count_if("is_cancelled").cast("bigint").alias("cancelled_orders"),
+            F.count_if("is_delayed").cast("bigint").alias("delayed_orders"),
+            sum_or_zero(F.col("order_item_count"), "bigint").alias("total_items"),
             sum_or_zero(F.col("order_gross_value"), KPI_MONEY).alias("gross_revenue"),
             sum_or_zero(F.col("order_net_value"), KPI_MONEY).alias("net_revenue"),
             sum_or_zero(F.col("order_freight_value"), KPI_MONEY).alias("total_freight"),
             ratio(F.sum("order_net_value"), n, 2, "decimal(12,2)").alias("avg_order_value"),
-            sum_or_zero(F.col("return_count"), "int").alias("total_returns"),
+            sum_or_zero(F.col("return_count"), "bigint").alias("total_returns"),
             sum_or_zero(F.col("total_refund_amount"), KPI_MONEY).alias("total_refund_amount"),
             ratio(F.sum("return_count"), n, 4, RATE).alias("return_rate"),
         )
@@ -247,11 +248,11 @@ def product_performance(products: DataFrame, order_items: DataFrame, returned: D
     return joined.select(
         "product_id",
         "product_category_name",
-        total("sold", "int").alias("times_ordered"),
-        total("sold", "int").alias("total_quantity_proxy"),
+        total("sold", "bigint").alias("times_ordered"),
+        total("sold", "bigint").alias("total_quantity_proxy"),
         total("gross", KPI_MONEY).alias("gross_revenue"),
         total("net", KPI_MONEY).alias("net_revenue"),
-        total("back", "int").alias("times_returned"),
+        total("back", "bigint").alias("times_returned"),
         total("refund", KPI_MONEY).alias("total_refund_amount"),
         rate.alias("return_rate"),
     )
@@ -269,7 +270,7 @@ def return_rate_by_reason(returned: DataFrame) -> DataFrame:
     share = share_of_total(counts, "return_count", 4, RATE)
     return counts.select(
         "return_reason",
-        F.col("return_count").cast("int").alias("return_count"),
+        F.col("return_count").cast("bigint").alias("return_count"),
         "total_refund_amount",
         share.alias("pct_of_all_returns"),
     )
@@ -281,10 +282,10 @@ def delivery_performance(orders: DataFrame, as_of: date) -> DataFrame:
     delay = F.when(F.col("is_delayed"), F.col("delivery_delay_days"))
     return orders.agg(
         F.lit(as_of).cast("date").alias("snapshot_date"),
-        n.cast("int").alias("total_orders"),
-        F.count_if("is_delivered").cast("int").alias("delivered_orders"),
-        F.count_if("is_cancelled").cast("int").alias("cancelled_orders"),
-        F.count_if("is_delayed").cast("int").alias("delayed_orders"),
+        n.cast("bigint").alias("total_orders"),
+        F.count_if("is_delivered").cast("bigint").alias("delivered_orders"),
+        F.count_if("is_cancelled").cast("bigint").alias("cancelled_orders"),
+        F.count_if("is_delayed").cast("bigint").alias("delayed_orders"),
         ratio(F.count_if("is_delivered"), n, 4, RATE).alias("delivery_rate"),
         ratio(F.count_if("is_cancelled"), n, 4, RATE).alias("cancellation_rate"),
         ratio(F.count_if("is_delayed"), n, 4, RATE).alias("delay_rate"),

@@ -84,7 +84,7 @@ def load_feeds(store: TableStore, landing: str, run_id: str, loaded_at: datetime
                 (feed.location, feed.table, "success", None, report.rows_attempted, report.rows_inserted)
             )
         except Exception as error:  # noqa: BLE001 - reported in the status frame and the file log
-            outcome.append((feed.location, feed.table, "failed", str(error)[:500], 0, 0))
+            outcome.append((feed.location, feed.table, "failed", str(error), 0, 0))
             log = new_files.withColumn("status", F.lit("failed"))
         logs.append(store.conform(log.withColumn("run_id", F.lit(run_id)), FILE_LOG))
     if logs:

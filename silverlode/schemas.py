@@ -226,32 +226,32 @@ _SPECS = [
     # --- gold: KPI tables -----------------------------------------------------
     TableSpec(
         "gold.daily_sales_summary",
-        "sales_date DATE, total_orders INT, delivered_orders INT, cancelled_orders INT, "
-        "delayed_orders INT, total_items INT, gross_revenue DECIMAL(16,2), net_revenue DECIMAL(16,2), "
-        "total_freight DECIMAL(16,2), avg_order_value DECIMAL(12,2), total_returns INT, "
+        "sales_date DATE, total_orders BIGINT, delivered_orders BIGINT, cancelled_orders BIGINT, "
+        "delayed_orders BIGINT, total_items BIGINT, gross_revenue DECIMAL(16,2), net_revenue DECIMAL(16,2), "
+        "total_freight DECIMAL(16,2), avg_order_value DECIMAL(12,2), total_returns BIGINT, "
         "total_refund_amount DECIMAL(16,2), return_rate DECIMAL(8,4)",
         ("sales_date",),
         "_loaded_at TIMESTAMP",
     ),
     TableSpec(
         "gold.product_performance",
-        "product_id STRING, product_category_name STRING, times_ordered INT, total_quantity_proxy INT, "
-        "gross_revenue DECIMAL(16,2), net_revenue DECIMAL(16,2), times_returned INT, "
+        "product_id STRING, product_category_name STRING, times_ordered BIGINT, total_quantity_proxy BIGINT, "
+        "gross_revenue DECIMAL(16,2), net_revenue DECIMAL(16,2), times_returned BIGINT, "
         "total_refund_amount DECIMAL(16,2), return_rate DECIMAL(8,4)",
         ("product_id",),
         "_loaded_at TIMESTAMP",
     ),
     TableSpec(
         "gold.return_rate_by_reason",
-        "return_reason STRING, return_count INT, total_refund_amount DECIMAL(16,2), "
+        "return_reason STRING, return_count BIGINT, total_refund_amount DECIMAL(16,2), "
         "pct_of_all_returns DECIMAL(8,4)",
         ("return_reason",),
         "_loaded_at TIMESTAMP",
     ),
     TableSpec(
         "gold.delivery_performance",
-        "snapshot_date DATE, total_orders INT, delivered_orders INT, cancelled_orders INT, "
-        "delayed_orders INT, delivery_rate DECIMAL(8,4), cancellation_rate DECIMAL(8,4), "
+        "snapshot_date DATE, total_orders BIGINT, delivered_orders BIGINT, cancelled_orders BIGINT, "
+        "delayed_orders BIGINT, delivery_rate DECIMAL(8,4), cancellation_rate DECIMAL(8,4), "
         "delay_rate DECIMAL(8,4), avg_delay_days DECIMAL(8,2)",
         ("snapshot_date",),
         "_loaded_at TIMESTAMP",

@@ -158,13 +158,17 @@ class TableStore:
             F.count(F.lit(1)).alias("rows"), F.count_if(has_null_key(spec.keys)).alias("rejected")
         ).first()
         if offered.rejected:
-            _, unkeyed = split_null_keys(staged, spec.keys)
-            unkeyed.write.mode("append").parquet(self.path(table) + "_rejects")
+            self._set_aside(table, staged)
         before = self.read(table).count()
         self._write(fresh, table, "append")
         after = self.read(table).count()
         return LoadReport(table, offered.rows, offered.rejected, before, after - before, after)
 
+    def _set_aside(self, table: str, staged: DataFrame) -> None:
+        """Append the rows with a NULL key to ``<table>_rejects``."""
+        _, unkeyed = split_null_keys(staged, self.tables[table].keys)
+        unkeyed.write.mode("append").parquet(self.path(table) + "_rejects")
+
     def insert_if_absent(self, table: str, df: DataFrame) -> LoadReport:
         """Insert the rows whose key is not stored yet; the first row of a key wins for good.
 
@@ -193,6 +197,8 @@ class TableStore:
             # At most as many values as the table has buckets.
             measures.append(F.collect_set(BUCKET).alias("touched"))
         offered = staged.agg(*measures).first()
+        if offered.rejected:
+            self._set_aside(table, staged)
         if spec.buckets:
             current = current.filter(F.col(BUCKET).isin(offered.touched))
         merged = pin(merge_rows(current, winners, spec.keys), "merged")

@@ -114,3 +114,14 @@ def test_money_is_cast_to_the_table_type(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.append("bronze.order_items", frame(spark, [("o", 1, "9.999")], "order_id STRING, order_item_id INT, price STRING"))
     assert rows(store.rows("bronze.order_items"), "price") == [(Decimal("10.00"),)]
+
+
+def test_upsert_sets_null_keys_aside(spark, tmp_path):
+    from silverlode.sinks.tables import TableStore
+
+    store = TableStore(spark, str(tmp_path))
+    batch = spark.createDataFrame([("r", 2**31 + 5, None, None), (None, 1, None, None)], "return_reason string, return_count long, total_refund_amount decimal(16,2), pct_of_all_returns decimal(8,4)")
+    report = store.upsert("gold.return_rate_by_reason", batch)
+    assert report.rows_rejected == 1
+    assert [r.return_count for r in store.read("gold.return_rate_by_reason").collect()] == [2**31 + 5]
+    assert spark.read.parquet(store.path("gold.return_rate_by_reason") + "_rejects").count() == 1
