@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from silverlode.llm.words import PUNCTUATION, Words, mix, slices
@@ -99,20 +99,28 @@ def swapped_sentences(text: str) -> list[tuple[str, str]]:
     return pairs
 
 
-def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for piece in slices(batch, "text"):
-            texts = piece.column("text")
-            sets = _sets(texts)
-            pairs = [p for t in texts.to_pylist() for p in swapped_sentences(t or "")]
-            before, after = (_sets(pa.array([p[i] for p in pairs], pa.string())) if pairs else [] for i in (0, 1))
-            label = piece.column("label").to_pylist() + [None] * len(pairs)
-            plus = [s.view(np.int64) for s in sets] + [np.setdiff1d(a, b).view(np.int64) for a, b in zip(before, after)]
-            minus = [None] * len(sets) + [np.setdiff1d(b, a).view(np.int64) for a, b in zip(before, after)]
-            kind = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(label, pa.int32()), pa.array(plus, kind), pa.array(minus, kind)], ["label", "plus", "minus"]
-            )
+def _training_rows(features: np.ndarray | None = None):
+    """Sets of labelled texts, and the two differing sets of each counterfactual pair; of ``features`` only."""
+
+    def kept(found: np.ndarray) -> np.ndarray:
+        return (found if features is None else np.intersect1d(found, features)).view(np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                texts = piece.column("text")
+                sets = _sets(texts)
+                pairs = [p for t in texts.to_pylist() for p in swapped_sentences(t or "")]
+                before, after = (_sets(pa.array([p[i] for p in pairs], pa.string())) if pairs else [] for i in (0, 1))
+                label = piece.column("label").to_pylist() + [None] * len(pairs)
+                plus = [kept(s) for s in sets] + [kept(np.setdiff1d(a, b)) for a, b in zip(before, after)]
+                minus = [None] * len(sets) + [kept(np.setdiff1d(b, a)) for a, b in zip(before, after)]
+                kind = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(label, pa.int32()), pa.array(plus, kind), pa.array(minus, kind)], ["label", "plus", "minus"]
+                )
+
+    return run
 
 
 def remainder(doc_id):
@@ -137,8 +145,35 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
         labelled.where("label = 1").orderBy(order, "doc_id").limit(positive)
         .union(labelled.where("label = 0").orderBy(order, "doc_id").limit(SAMPLE - positive))
     )
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string")).join(F.broadcast(picked), "doc_id")
-    return rows.select("label", "text").mapInArrow(_training_rows, "label int, plus array<long>, minus array<long>").toPandas()
+    rows = docs.select(F.col("doc_id"), F.col("text").cast("string")).join(F.broadcast(picked), "doc_id").select("label", "text")
+    kind = "label int, plus array<long>, minus array<long>"
+    features = telling_features(rows.mapInArrow(_training_rows(), kind))
+    return rows.mapInArrow(_training_rows(features), kind).toPandas()
+
+
+def telling_features(rows: DataFrame) -> np.ndarray:
+    """At most ``FEATURES`` features, sorted, that differ far beyond chance between the classes of ``rows``.
+
+    Counted where the rows are, so the driver sees no other feature of the sample; rare
+    words of long texts add no noise.
+    """
+    labelled = rows.where("label is not null")
+    n1, n0 = (float(n or 0) for n in labelled.agg(F.sum("label"), F.sum(1 - F.col("label"))).first())
+    if not n1 or not n0:
+        return np.zeros(0, np.uint64)
+    seen = Observation()
+    counts = (
+        labelled.select("label", F.explode("plus").alias("feature"))
+        .groupBy("feature")
+        .agg(F.sum("label").alias("pos"), F.count(F.lit(1)).alias("both"))
+        .observe(seen, F.count(F.lit(1)).alias("names"))
+    )
+    rate = f"both / {n1 + n0}D"
+    spread = f"sqrt(greatest({rate} * (1 - {rate}), 1e-12D) * {1 / n1 + 1 / n0}D)"
+    z = F.expr(f"abs(pos / {n1}D - (both - pos) / {n0}D) / {spread}")
+    best = counts.where("both >= 3").select("feature", z.alias("z")).orderBy(F.desc("z"), "feature").limit(FEATURES).toPandas()
+    cut = np.sqrt(2 * np.log(max(seen.get["names"], 2)))
+    return np.sort(best["feature"][best["z"] > cut].to_numpy(np.int64).view(np.uint64))
 
 
 class _Rows:
