@@ -77,11 +77,21 @@ def joined_hash(names: Iterable[str]) -> Column:
 def number_text(col: Column) -> Column:
     """Shortest plain text of a double: ``10`` not ``10.0``, ``12345678.5`` not ``1.23456785E7``.
 
-    Exact for magnitudes below 1e20 with up to 18 decimals; a value beyond that
-    keeps Spark's own text.
+    Every magnitude is written in plain digits, so different doubles have different texts.
     """
-    plain = col.cast("string").try_cast("decimal(38,18)").cast("string")
-    return F.coalesce(F.regexp_replace(plain, r"\.?0+$", ""), col.cast("string"))
+    text = col.cast("string")
+    scientific = r"^-?(\d)\.?(\d*?)0*E(-?\d+)$"
+    digits = F.concat(F.regexp_extract(text, scientific, 1), F.regexp_extract(text, scientific, 2))
+    exponent = F.regexp_extract(text, scientific, 3).try_cast("int")
+    # The digits before the decimal point.
+    whole = exponent + 1
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -whole), digits)
+    padded = F.rpad(digits, whole, F.lit("0"))
+    split = F.concat(F.substr(digits, F.lit(1), whole), F.lit("."), F.substr(digits, whole + 1))
+    expanded = F.when(exponent < 0, small).when(F.length(digits) > whole, split).otherwise(padded)
+    sign = F.when(col < 0, "-").otherwise("")
+    plain = F.when(col == 0, "0").otherwise(F.regexp_replace(text, r"\.0$", ""))
+    return F.when(text.rlike(scientific), F.concat(sign, expanded)).otherwise(plain)
 
 
 def run_together_hash(cols: Iterable[tuple[Column, T.DataType]]) -> Column:
@@ -106,8 +116,8 @@ def ratio(numerator: Column, denominator: Column, scale: int, target: str) -> Co
 
 
 def rounded_double(col: Column, scale: int, target: str = "decimal(18,2)") -> Column:
-    """Round a double after fixing it to six decimals, so binary noise cannot flip a half."""
-    return F.round(col.cast("decimal(18,6)"), scale).cast(target)
+    """Round a double's shortest text once, half away from zero; NULL beyond the range of ``target``."""
+    return col.try_cast(f"decimal(38,{scale})").try_cast(target)
 
 
 def sum_or_zero(col: Column, target: str) -> Column:

@@ -110,22 +110,22 @@ def load_feed(
 ) -> tuple[LoadReport, DataFrame]:
     """Insert the rows of new files; returns the load report and the log entry of every file.
 
-    Files are read in one scan with a common header; if their headers differ, every
-    row is resolved through the header of its own file instead.
+    Files are read in one scan with a common header; if their headers differ, there is
+    one scan per header instead.
     """
     paths = [row.file_path for row in new_files.collect()]
 
-    def staged_rows(header_markers: tuple[str, ...] = ()) -> DataFrame:
-        rows = csv.read_named(store.spark, paths, feed.schema, header_markers)
+    def staged_rows(rows: DataFrame) -> DataFrame:
         landed = bronze.with_lineage(rows, feed.table, feed.source_system, run_id, loaded_at)
         return store.stage(feed.table, landed)
 
     try:
-        staged = staged_rows()
-    except Exception as error:  # noqa: BLE001 - only a header mismatch is handled here
-        if csv.HEADER_MISMATCH not in str(error):
+        staged = staged_rows(csv.read_named(store.spark, paths, feed.schema))
+    except Exception:  # noqa: BLE001 - only different headers are handled here
+        groups = csv.paths_by_header(store.spark, paths)
+        if len(groups) < 2:
             raise
-        staged = staged_rows(feed.spec.keys)
+        staged = staged_rows(csv.read_mixed(store.spark, groups, feed.schema))
     fresh = pin(store.fresh_rows(feed.table, staged), "fresh")
     report = store.insert_fresh(feed.table, staged, fresh)
     log = (

@@ -42,7 +42,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not (spark.sparkContext.master + "[").startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     root = tempfile.mkdtemp(prefix="silverlode-")
     spark.conf.set(CHECKPOINT_KEY, root)

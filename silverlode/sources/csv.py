@@ -10,23 +10,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.functions import lenient_cast
-from silverlode.operators.keyed import first_per_key
-from silverlode.operators.numbering import pin
 
 FILE_COLUMN = "_file_name"
 
-# Part of Spark's message when a file's header differs from the scan's schema.
-HEADER_MISMATCH = "CSV header"
-
-# Widest file the mixed-header scan accepts.
-MAX_COLUMNS = 128
-
 CSV_OPTIONS = {
+    "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "escape": '"',
@@ -60,87 +53,88 @@ def missing_columns(header: Sequence[str], schema: T.StructType) -> list[str]:
     return [name for name in schema.names if name not in header]
 
 
+def file_name() -> Column:
+    """The base name of a scanned row's file; the metadata column has it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
+def _one_line_records(options: dict[str, str]) -> dict[str, str]:
+    """Large files can be split; a record with a wrong number of cells stops the scan."""
+    return options | {"multiLine": "false", "mode": "FAILFAST"}
+
+
 def read_named(
-    spark: SparkSession,
-    paths: str | Sequence[str],
-    schema: T.StructType,
-    header_markers: Sequence[str] = (),
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, line_breaks: bool = True
 ) -> DataFrame:
     """Scan CSV files by header name in one job and add the file name of every row.
 
     All files are expected to share the header of the first; a file that differs
-    raises instead of loading shifted values.  Pass ``header_markers`` (names that
-    every header holds) for file sets whose headers differ.
+    raises instead of loading shifted values (:func:`read_mixed` takes such sets).
+    Quoted cells can hold line breaks, so a file is read by one task; pass
+    ``line_breaks=False`` for files known to have none, which are then split.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if header_markers:
-        return _read_mixed(spark, paths, schema, header_markers)
     names = header_of(spark, paths)
     raw = (
-        spark.read.options(**CSV_OPTIONS)
+        spark.read.options(**(CSV_OPTIONS if line_breaks else _one_line_records(CSV_OPTIONS)))
         .option("header", True)
         .option("enforceSchema", False)
         .schema(text_schema(names))
         .csv(paths)
-        .withColumn(FILE_COLUMN, F.col("_metadata.file_name"))
+        .withColumn(FILE_COLUMN, file_name())
     )
     return cast_by_name(raw, schema, keep=[FILE_COLUMN])
 
 
-def _read_mixed(
-    spark: SparkSession, paths: list[str], schema: T.StructType, markers: Sequence[str]
-) -> DataFrame:
-    """Files with different headers: every row looks its values up through its own file's header.
-
-    A header line is the row that holds all ``markers`` (the key column names) as
-    values.  There is one per file, so the join back is against a table as small as
-    the file list.  Rows of a file without such a header come out with NULL keys,
-    which the writers set aside as rejects.
-    """
-    cells = [f"_cell{i}" for i in range(MAX_COLUMNS)]
-    raw = (
-        spark.read.options(**CSV_OPTIONS)
-        .schema(text_schema(cells))
-        .csv(paths)
+def paths_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """The non-empty files of ``paths`` grouped by their first line."""
+    listed = spark.read.format("binaryFile").load(list(paths)).select("path", F.col("_metadata.file_path").alias("_uri"))
+    lines = (
+        spark.read.text(list(paths))
         .select(
-            F.array(*cells).alias("_cells"),
-            F.col("_metadata.file_path").alias("_path"),
-            F.col("_metadata.file_name").alias(FILE_COLUMN),
+            F.col("_metadata.file_path").alias("_uri"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_id"),
+            "value",
         )
+        .filter("_block = 0")
     )
-    is_header = reduce(lambda a, b: a & b, [F.array_contains("_cells", m) for m in markers])
-    is_header = F.coalesce(is_header, F.lit(False))
-    # Stored, so the planner knows the size: few files are broadcast, and with very many
-    # the shuffle join can still split the rows of one dominant file.
-    headers = pin(
-        first_per_key(raw.filter(is_header).select("_path", F.col("_cells").alias("_names")), ["_path"]),
-        "headers",
-    )
-    rows = raw.filter(~is_header).join(headers, "_path", "left")
+    firsts = lines.groupBy("_uri").agg(F.min("_id").alias("_id"))
+    groups: dict[str, list[str]] = {}
+    for row in lines.join(firsts, ["_uri", "_id"]).join(listed, "_uri").select("value", "path").orderBy("path").collect():
+        groups.setdefault(row.value, []).append(row.path)
+    return groups
 
-    def cell(name: str):
-        place = F.nullif(F.array_position("_names", F.lit(name)), F.lit(0).cast("bigint"))
-        return F.try_element_at("_cells", place.cast("int"))
 
-    named = rows.select(*[cell(f.name).alias(f.name) for f in schema], FILE_COLUMN)
-    return cast_by_name(named, schema, keep=[FILE_COLUMN])
+def read_mixed(
+    spark: SparkSession, groups: dict[str, list[str]], schema: T.StructType, line_breaks: bool = True
+) -> DataFrame:
+    """Files with different headers, as :func:`paths_by_header` groups them: one scan per header.
+
+    A file without expected columns gives rows of NULLs, which the writers set aside.
+    """
+    return reduce(DataFrame.unionByName, [read_named(spark, paths, schema, line_breaks) for paths in groups.values()])
 
 
 def read_positional(
-    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, strict: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: T.StructType,
+    strict: bool = False,
+    line_breaks: bool = True,
 ) -> DataFrame:
     """Scan CSV files whose columns are matched by position; the header line is skipped.
 
     Lenient by default (a bad cell is NULL, a missing trailing column is NULL);
     ``strict`` aborts the load on the first malformed row, as a bulk copy does.
+    ``line_breaks`` is that of :func:`read_named`.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    reader = spark.read.options(**CSV_OPTIONS).option("header", True).option("recursiveFileLookup", True)
+    options = CSV_OPTIONS if line_breaks else _one_line_records(CSV_OPTIONS)
+    reader = spark.read.options(**options).option("header", True).option("recursiveFileLookup", True)
     if strict:
         return reader.option("mode", "FAILFAST").schema(schema).csv(paths)
-    raw = (
-        reader.schema(text_schema(schema.names)).csv(paths).withColumn("source_file", F.col("_metadata.file_name"))
-    )
+    raw = reader.schema(text_schema(schema.names)).csv(paths).withColumn("source_file", file_name())
     return cast_by_name(raw, schema, keep=["source_file"])
 
 

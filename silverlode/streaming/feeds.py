@@ -10,7 +10,6 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from silverlode.plans.bronze import with_lineage
 from silverlode.schemas import FileSource
@@ -35,7 +34,7 @@ def stream_feed(
         .option("maxFilesPerTrigger", max_files_per_batch)
         .schema(csv.text_schema(header))
         .csv(folder)
-        .withColumn(csv.FILE_COLUMN, F.col("_metadata.file_name"))
+        .withColumn(csv.FILE_COLUMN, csv.file_name())
     )
     rows = csv.cast_by_name(raw, feed.schema, keep=[csv.FILE_COLUMN])
 

@@ -63,7 +63,11 @@ def test_joined_hash_keeps_blanks(spark):
 
 @pytest.mark.parametrize(
     "value, text",
-    [(10.0, "10"), (1.5, "1.5"), (12345678.5, "12345678.5"), (0.0001, "0.0001"), (0.0, "0"), (-3.25, "-3.25")],
+    [
+        (10.0, "10"), (1.5, "1.5"), (12345678.5, "12345678.5"), (0.0001, "0.0001"), (0.0, "0"), (-3.25, "-3.25"),
+        (-0.0, "0"), (1e-19, "0." + "0" * 18 + "1"), (-2.5e-19, "-0." + "0" * 18 + "25"), (1e25, "1" + "0" * 25),
+        (1.5e7, "15000000"), (0.0012345678901234567, "0.0012345678901234567"), (float("inf"), "Infinity"),
+    ],
 )
 def test_number_text(spark, value, text):
     assert one(spark, fn.number_text(F.col("x")), "x DOUBLE", value) == text
@@ -84,6 +88,9 @@ def test_ratio_rounds_half_away_and_guards_zero(spark):
 
 def test_rounded_double_is_not_fooled_by_binary_noise(spark):
     assert one(spark, fn.rounded_double(F.col("x"), 2), "x DOUBLE", 1.005) == Decimal("1.01")
+    assert one(spark, fn.rounded_double(F.col("x"), 2), "x DOUBLE", 0.0049999999) == Decimal("0.00")
+    assert one(spark, fn.rounded_double(F.col("x"), 2), "x DOUBLE", 1e13) == Decimal("1e13")
+    assert one(spark, fn.rounded_double(F.col("x"), 2), "x DOUBLE", 1e40) is None
 
 
 def test_elapsed_seconds_keeps_fractions(spark):

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import hashlib
 from datetime import date
 from decimal import Decimal
 
@@ -47,7 +46,7 @@ def test_missing_columns_are_listed(spark, tmp_path):
 
 def test_different_headers_raise_instead_of_shifting(spark, tmp_path):
     paths = [write(tmp_path / "a.csv", "id,price\n1,2\n"), write(tmp_path / "b.csv", "price,id\n4,3\n")]
-    with pytest.raises(Exception, match=csv.HEADER_MISMATCH):
+    with pytest.raises(Exception, match="CSV header"):
         csv.read_named(spark, paths, ITEMS).collect()
 
 
@@ -55,17 +54,31 @@ def test_mixed_headers_are_resolved_per_file(spark, tmp_path):
     paths = [
         write(tmp_path / "a.csv", "id,price\n1,2\n5,6\n"),
         write(tmp_path / "b.csv", "price,note,id\n4,n,3\n"),
-        write(tmp_path / "c.csv", "no header here\n"),
+        write(tmp_path / "c.csv", "no known column\nrow\n"),
+        write(tmp_path / "d e.csv", ",".join([*(f"x{i}" for i in range(130)), "id"]) + "\n" + "," * 130 + "7\n"),
     ]
-    got = csv.read_named(spark, paths, ITEMS, header_markers=["id", "price"])
+    groups = csv.paths_by_header(spark, paths)
+    assert len(groups) == 4
+    got = csv.read_mixed(spark, groups, ITEMS)
     assert rows(got, "id", "price", "note", "_file_name") == [
         (1, Decimal("2.00"), None, "a.csv"),
         (3, Decimal("4.00"), "n", "b.csv"),
         (5, Decimal("6.00"), None, "a.csv"),
+        (7, None, None, "d e.csv"),
         (None, None, None, "c.csv"),
     ]
 
 
+def test_quoted_line_breaks_stay_in_their_record(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'id,price,note\n1,2.50,"line one\nline ""two"", end"\n2,3,x\n')
+    got = csv.read_named(spark, path, ITEMS)
+    assert rows(got, "id", "note") == [(1, 'line one\nline "two", end'), (2, "x")]
+    schema = T.StructType.fromDDL("id INT, price DECIMAL(12,2), note STRING")
+    assert rows(csv.read_positional(spark, path, schema), "id", "note") == rows(got, "id", "note")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        csv.read_named(spark, path, ITEMS, line_breaks=False).collect()
+
+
 def test_csv_round_trip_keeps_blanks_quotes_and_microseconds(spark, tmp_path):
     df = spark.sql(
         "SELECT ' a ' AS s, 'q\"x,y' AS q, TIMESTAMP_NTZ'2024-01-01 00:00:00.123456' AS t, CAST(NULL AS INT) AS n"
@@ -102,28 +115,33 @@ def test_discovery_is_recursive_and_filters_names(spark, tmp_path):
     assert rows(files.discover(spark, str(tmp_path)), "file_name") == [("a.csv",), ("b.csv",)]
 
 
-def test_fingerprint_is_md5_of_the_bytes(spark, tmp_path):
-    write(tmp_path / "a.csv", "h\n1\n")
-    got = files.fingerprints(spark, str(tmp_path)).first()
-    assert (got.file_name, got.file_size_bytes) == ("a.csv", 4)
-    assert got.file_checksum == hashlib.md5(b"h\n1\n").hexdigest()
+def test_fingerprints_see_every_byte_and_the_order(spark, tmp_path):
+    contents = [
+        b"\n", b"h\n1\n2\n", b"h\n2\n1\n", b"h\n1\n2", b"h\r\n1\r\n2\r\n", b"h\n1\n2\n\n", b"h\n1 \n2\n", b"h\n12\n\n",
+        b"h\n" + b"a\nb\n" * 20, b"h\n" + b"a\nb\n" * 19 + b"b\na\n",
+    ]
+    for i, content in enumerate(contents):
+        (tmp_path / f"my file {i}.csv").write_bytes(content)
+    got = {r.file_name: r for r in files.fingerprints(spark, str(tmp_path)).collect()}
+    assert {n: r.file_size_bytes for n, r in got.items()} == {f"my file {i}.csv": len(c) for i, c in enumerate(contents)}
+    assert len({r.file_checksum for r in got.values()}) == len(contents)
 
 
-def test_large_files_get_a_line_digest_that_sees_changes(spark, tmp_path):
-    write(tmp_path / "small.csv", "h\n")
-    big = tmp_path / "big.csv"
-    write(big, "h\n" + "row\n" * 50)
+def test_fingerprints_do_not_depend_on_names_or_splits(spark, tmp_path):
+    lines = "h\n" + "".join(f"row {i}\n" for i in range(5000))
+    write(tmp_path / "x" / "a.csv", lines)
+    write(tmp_path / "y" / "b.csv", lines)
 
     def digests():
-        got = files.fingerprints(spark, str(tmp_path), whole_limit=10).collect()
-        return {r.file_name: r.file_checksum for r in got}
-
-    before = digests()
-    assert set(before) == {"small.csv", "big.csv"}
-    assert before["small.csv"] == hashlib.md5(b"h\n").hexdigest()
-    write(big, "h\n" + "row\n" * 49 + "raw\n")
-    after = digests()
-    assert after["big.csv"] != before["big.csv"] and after["small.csv"] == before["small.csv"]
+        return {r.file_checksum for r in files.fingerprints(spark, str(tmp_path)).collect()}
+
+    whole = digests()
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        assert digests() == whole and len(whole) == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
 
 
 def test_changed_files_needs_a_processed_entry_with_the_same_checksum(spark):

@@ -179,7 +179,7 @@ def csv_scan_typed(m: Model) -> DataFrame:
         F.when(F.col("c_custkey") % 100 == 0, "n/a")
         .otherwise(F.col("c_acctbal").cast("decimal(12,2)").cast("string"))
         .alias("c_acctbal"),
-        "c_name",
+        F.expr("if(c_custkey % 7 = 0, concat(c_name, '\\n\"x\", y'), c_name)").alias("c_name"),
         F.lit("x").alias("unexpected"),
     )
     path = scratch_path(m.spark, "csv-scan")
@@ -188,12 +188,19 @@ def csv_scan_typed(m: Model) -> DataFrame:
 
 
 def file_fingerprint(m: Model) -> DataFrame:
-    """Whole-file and line-wise fingerprints of the order feed written as CSV files."""
+    """Fingerprints of the orders written as one file of ordered lines per month."""
     path = scratch_path(m.spark, "fingerprint")
-    csv.write_csv(m.orders(), path)
-    whole = files.fingerprints(m.spark, path).withColumn("method", F.lit("bytes"))
-    lines = files.fingerprints(m.spark, path, whole_limit=0).withColumn("method", F.lit("lines"))
-    return whole.unionByName(lines).select("file_name", "file_size_bytes", "file_checksum", "method")
+    lines = m.table("orders").selectExpr(
+        "date_format(o_orderdate, 'yyyy-MM') AS month",
+        "o_orderkey",
+        "concat_ws(',', o_orderkey, o_custkey, o_orderstatus) AS line",
+    )
+    ordered = lines.repartition("month").sortWithinPartitions("month", "o_orderkey")
+    ordered.select("month", "line").write.partitionBy("month").text(path)
+    found = files.fingerprints(m.spark, path, "*.txt")
+    return found.select(
+        F.regexp_extract("path", "month=([0-9-]+)", 1).alias("month"), "file_size_bytes", "file_checksum"
+    )
 
 
 def _write_feeds(m: Model) -> str:
