@@ -30,7 +30,7 @@ def with_lineage(
     """The delivered business columns of ``table`` plus lineage; the hash covers the business columns."""
     spec: TableSpec = TABLES[table]
     delivered = [c for c in spec.business_columns if c in df.columns]
-    df = df.select(*delivered, *[c for c in ("_file_name",) if c in df.columns])
+    df = df.select(*delivered, *[c for c in ("_file_name", "_file_uri") if c in df.columns])
     return df.withColumns(
         {
             "_source_system": F.lit(source_system),

@@ -96,10 +96,10 @@ def load_feeds(store: TableStore, landing: str, run_id: str, loaded_at: datetime
 def _new_files(store: TableStore, feed: FileSource, folder: str) -> DataFrame | None:
     """The feed's files that the log does not list as processed; None when there are none."""
     found = files.fingerprints(store.spark, folder).withColumn("source_system", F.lit(feed.source_system))
-    columns = "source_system STRING, file_name STRING, file_path STRING, file_size_bytes BIGINT, file_checksum STRING"
+    columns = "source_system STRING, file_name STRING, file_path STRING, file_size_bytes BIGINT, file_checksum STRING, _file_uri STRING"
     listed = (
         files.changed_files(found, store.rows(FILE_LOG))
-        .select("source_system", "file_name", "path", "file_size_bytes", "file_checksum")
+        .select("source_system", "file_name", "path", "file_size_bytes", "file_checksum", "uri")
         .collect()
     )
     return store.spark.createDataFrame(listed, columns) if listed else None
@@ -117,20 +117,20 @@ def load_feed(
 
     def staged_rows(rows: DataFrame) -> DataFrame:
         landed = bronze.with_lineage(rows, feed.table, feed.source_system, run_id, loaded_at)
-        return store.stage(feed.table, landed)
+        return store.stage(feed.table, landed, extra=[csv.URI_COLUMN])
 
     try:
-        staged = staged_rows(csv.read_named(store.spark, paths, feed.schema))
+        staged = staged_rows(csv.read_named(store.spark, paths, feed.schema, uri=True))
     except Exception:  # noqa: BLE001 - only different headers are handled here
         groups = csv.paths_by_header(store.spark, paths)
         if len(groups) < 2:
             raise
-        staged = staged_rows(csv.read_mixed(store.spark, groups, feed.schema))
+        staged = staged_rows(csv.read_mixed(store.spark, groups, feed.schema, uri=True))
     fresh = pin(store.fresh_rows(feed.table, staged), "fresh")
     report = store.insert_fresh(feed.table, staged, fresh)
     log = (
-        new_files.join(_per_file(staged, "rows_loaded"), "file_name", "left")
-        .join(_per_file(fresh, "rows_inserted"), "file_name", "left")
+        new_files.join(_per_file(staged, "rows_loaded"), csv.URI_COLUMN, "left")
+        .join(_per_file(fresh, "rows_inserted"), csv.URI_COLUMN, "left")
         .fillna(0, ["rows_loaded", "rows_inserted"])
         .withColumn("status", F.lit("processed"))
     )
@@ -138,7 +138,7 @@ def load_feed(
 
 
 def _per_file(rows: DataFrame, measure: str) -> DataFrame:
-    return rows.groupBy(F.col(csv.FILE_COLUMN).alias("file_name")).agg(F.count(F.lit(1)).alias(measure))
+    return rows.groupBy(csv.URI_COLUMN).agg(F.count(F.lit(1)).alias(measure))
 
 
 def load_rates(
@@ -175,6 +175,7 @@ def check_bronze(
 def record_checks(
     store: TableStore, results: DataFrame, layer: str, run_id: str, checked_at: datetime
 ) -> None:
+    """Store the outcome of every check; a repeated run of one ``run_id`` replaces its own."""
     details = F.to_json(
         F.struct(
             "critical",
@@ -182,7 +183,7 @@ def record_checks(
             F.col("rows_checked").alias("total_rows"),
         )
     )
-    store.append(
+    store.upsert(
         "logs.data_quality_results",
         results.withColumns(
             {

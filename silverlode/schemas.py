@@ -271,6 +271,7 @@ _SPECS = [
         "status STRING, rows_checked BIGINT, rows_failed BIGINT, failure_percentage DECIMAL(8,4), "
         "details STRING, checked_at TIMESTAMP",
         ("run_id", "table_name", "check_name"),
+        buckets=16,
     ),
     TableSpec(
         "logs.pipeline_runs",

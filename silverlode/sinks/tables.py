@@ -94,7 +94,7 @@ class TableStore:
         return self.read(table).select(*self.tables[table].schema.names)
 
     # --- shaping ----------------------------------------------------------------
-    def conform(self, df: DataFrame, table: str) -> DataFrame:
+    def conform(self, df: DataFrame, table: str, extra: Sequence[str] = ()) -> DataFrame:
         """The table's columns in order and type; absent columns are NULL or their default."""
         spec = self.tables[table]
 
@@ -104,7 +104,7 @@ class TableStore:
                 col = F.coalesce(col, F.lit(spec.defaults[field.name]))
             return col.cast(field.dataType).alias(field.name)
 
-        return df.select(*[shaped(f) for f in spec.schema])
+        return df.select(*[shaped(f) for f in spec.schema], *extra)
 
     def _laid_out(self, df: DataFrame, table: str) -> DataFrame:
         spec = self.tables[table]
@@ -140,9 +140,12 @@ class TableStore:
         after = self.read(table).count()
         return LoadReport(table, after - before, 0, before, after - before, after)
 
-    def stage(self, table: str, df: DataFrame) -> DataFrame:
-        """The batch in table shape, written once; everything after reads this copy."""
-        return pin(self.conform(df, table), "batch")
+    def stage(self, table: str, df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+        """The batch in table shape, written once; everything after reads this copy.
+
+        ``extra`` columns stand behind those of the table and are not stored in it.
+        """
+        return pin(self.conform(df, table, extra), "batch")
 
     def fresh_rows(self, table: str, staged: DataFrame) -> DataFrame:
         """One row per complete key of the batch that the table does not hold yet."""
@@ -160,14 +163,15 @@ class TableStore:
         if offered.rejected:
             self._set_aside(table, staged)
         before = self.read(table).count()
-        self._write(fresh, table, "append")
+        self._write(fresh.select(*spec.schema.names), table, "append")
         after = self.read(table).count()
         return LoadReport(table, offered.rows, offered.rejected, before, after - before, after)
 
     def _set_aside(self, table: str, staged: DataFrame) -> None:
         """Append the rows with a NULL key to ``<table>_rejects``."""
-        _, unkeyed = split_null_keys(staged, self.tables[table].keys)
-        unkeyed.write.mode("append").parquet(self.path(table) + "_rejects")
+        spec = self.tables[table]
+        _, unkeyed = split_null_keys(staged, spec.keys)
+        unkeyed.select(*spec.schema.names).write.mode("append").parquet(self.path(table) + "_rejects")
 
     def insert_if_absent(self, table: str, df: DataFrame) -> LoadReport:
         """Insert the rows whose key is not stored yet; the first row of a key wins for good.

@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from silverlode.functions import lenient_cast
 
 FILE_COLUMN = "_file_name"
+#: A row's whole path as Spark's file metadata has it.
+URI_COLUMN = "_file_uri"
 
 CSV_OPTIONS = {
     "multiLine": "true",
@@ -64,9 +66,9 @@ def _one_line_records(options: dict[str, str]) -> dict[str, str]:
 
 
 def read_named(
-    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, line_breaks: bool = True
+    spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, line_breaks: bool = True, uri: bool = False
 ) -> DataFrame:
-    """Scan CSV files by header name in one job and add the file name of every row.
+    """Scan CSV files by header name in one job and add the file name (``uri``: also the whole path) of every row.
 
     All files are expected to share the header of the first; a file that differs
     raises instead of loading shifted values (:func:`read_mixed` takes such sets).
@@ -83,7 +85,9 @@ def read_named(
         .csv(paths)
         .withColumn(FILE_COLUMN, file_name())
     )
-    return cast_by_name(raw, schema, keep=[FILE_COLUMN])
+    if not uri:
+        return cast_by_name(raw, schema, keep=[FILE_COLUMN])
+    return cast_by_name(raw.withColumn(URI_COLUMN, F.col("_metadata.file_path")), schema, keep=[FILE_COLUMN, URI_COLUMN])
 
 
 def paths_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
@@ -107,13 +111,13 @@ def paths_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list
 
 
 def read_mixed(
-    spark: SparkSession, groups: dict[str, list[str]], schema: T.StructType, line_breaks: bool = True
+    spark: SparkSession, groups: dict[str, list[str]], schema: T.StructType, line_breaks: bool = True, uri: bool = False
 ) -> DataFrame:
     """Files with different headers, as :func:`paths_by_header` groups them: one scan per header.
 
     A file without expected columns gives rows of NULLs, which the writers set aside.
     """
-    return reduce(DataFrame.unionByName, [read_named(spark, paths, schema, line_breaks) for paths in groups.values()])
+    return reduce(DataFrame.unionByName, [read_named(spark, paths, schema, line_breaks, uri) for paths in groups.values()])
 
 
 def read_positional(

@@ -34,7 +34,7 @@ def discover(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFr
 
 
 def fingerprints(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """(path, file_name, file_size_bytes, file_checksum) for every non-empty file below ``folder``.
+    """(path, file_name, file_size_bytes, file_checksum, uri) for every non-empty file below ``folder``.
 
     One digest for all sizes, from a scan that splits large files.  Lines are cut at
     line feeds only, so carriage returns count.  Each part of a line's MD5 is summed
@@ -83,7 +83,7 @@ def fingerprints(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Da
     return (
         _listed(spark, folder, pattern)
         .join(summed, "_uri", "left")
-        .select("path", "file_name", "file_size_bytes", checksum.alias("file_checksum"))
+        .select("path", "file_name", "file_size_bytes", checksum.alias("file_checksum"), F.col("_uri").alias("uri"))
     )
 
 

@@ -107,6 +107,9 @@ def test_platform_run_and_rerun(spark, store, tmp_path):
     assert '"failed_rows":1' in results.filter("status = 'failed'").first().details
     summary = jobs.check_bronze(store, "dq-2", NOW, fail_on_critical=False)
     assert tuple(summary.first()) == (19, 1, 2)
+    # The same run again replaces its own results.
+    jobs.check_bronze(store, "dq-2", NOW, fail_on_critical=False)
+    assert store.rows("logs.data_quality_results").count() == 38
 
     jobs.build_silver(store, "s1", NOW)
     assert rows(store.rows("silver.customers"), "customer_city", "customer_state", "customer_zip_code_prefix") == [
@@ -221,14 +224,35 @@ def test_files_with_other_headers_load_by_name_and_rows_under_unknown_headers_ar
     ]
 
 
+def test_file_counts_belong_to_paths_not_to_base_names(store, tmp_path):
+    head = STATUS.splitlines()[0] + "\n"
+    line = "{},shipped,2024-01-02 00:00:00,,,WH-01,,hub,2024-01-02\n"
+    feeds = write(
+        tmp_path / "feeds",
+        {
+            "order_status/one/a.csv": head + line.format("o1"),
+            "order_status/two/a.csv": head + line.format("o2") + line.format("o3"),
+            "order_status/two/my file+.csv": head + line.format("o4"),
+        },
+    )
+    jobs.load_feeds(store, feeds, "run-1", NOW)
+    log = store.rows("logs.file_ingestion_log").withColumn("folder", F.element_at(F.split("file_path", "/"), -2))
+    assert rows(log, "folder", "file_name", "rows_loaded", "rows_inserted") == [
+        ("one", "a.csv", 1, 1),
+        ("two", "a.csv", 2, 2),
+        ("two", "my file+.csv", 1, 1),
+    ]
+    assert "_file_uri" not in store.read("bronze.order_status").columns
+
+
 def test_a_failing_feed_is_logged_and_does_not_stop_the_others(store, tmp_path, monkeypatch):
     feeds = write(tmp_path / "feeds", {"order_status/a.csv": STATUS, "returns/r.csv": RETURNS})
     read = jobs.csv.read_named
 
-    def broken(spark, paths, *args):
+    def broken(spark, paths, *args, **named):
         if "order_status" in paths[0]:
             raise OSError("disk gone")
-        return read(spark, paths, *args)
+        return read(spark, paths, *args, **named)
 
     monkeypatch.setattr(jobs.csv, "read_named", broken)
     got = jobs.load_feeds(store, feeds, "run-1", NOW)

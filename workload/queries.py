@@ -136,15 +136,28 @@ class Model(Inputs):
         }
 
     def landed(self):
-        """Source rows under their bronze table names, before key de-duplication."""
+        """Source rows under their bronze table names, before key de-duplication, some of them against the rules."""
+        orders = self.orders().withColumns(
+            {
+                "order_id": F.expr("if(order_id LIKE '%77', NULL, order_id)"),
+                "order_purchase_timestamp": F.expr("if(order_id LIKE '%55', NULL, order_purchase_timestamp)"),
+            }
+        )
+        items = self.order_items().withColumns(
+            {
+                "product_id": F.expr("if(order_item_id = 7, NULL, product_id)"),
+                "price": F.expr("CASE WHEN order_id LIKE '%31' THEN -price WHEN order_id NOT LIKE '%32' THEN price END"),
+            }
+        )
+        rate = F.expr("if(target_currency = 'JPY', -rate, rate)")
         return {
-            "bronze.orders": self.orders(),
-            "bronze.order_items": self.order_items(),
+            "bronze.orders": orders,
+            "bronze.order_items": items,
             "bronze.customers": self.customers(),
             "bronze.products": self.products(),
             "bronze.order_status": self.order_status(),
             "bronze.returns": self.returns(),
-            "bronze.currency_rates": rates.flatten_payloads(self.payloads()),
+            "bronze.currency_rates": rates.flatten_payloads(self.payloads()).withColumn("rate", rate),
         }
 
     # taxi
