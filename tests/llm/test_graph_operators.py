@@ -61,3 +61,47 @@ def test_quotes_are_linked_in_reply_order(spark):
     assert found[2, 1].to_conv is None and found[1, 3].depth == 0 and found[3, 0].text == ""
     assert quotes.conversations(messages).count() == len(rows)
     assert quotes.conversations(messages.where("false")).isEmpty()
+
+
+def planted_vectors(spark, seed=7):
+    """Two groups of twelve near copies with 0.92 across, a large group of copies, pairs, and vectors without links."""
+    rng = np.random.default_rng(seed)
+    unit = lambda v: v / np.linalg.norm(v)
+    a = unit(rng.normal(size=32))
+    side = rng.normal(size=32)
+    side = unit(side - side @ a * a)
+    b = 0.92 * a + np.sqrt(1 - 0.92**2) * side
+    vectors = [unit(c + 1e-4 * rng.normal(size=32)) for c in (a, b) for _ in range(12)]
+    vectors += [unit(rng.normal(size=32))] * 200
+    for _ in range(20):
+        one = unit(rng.normal(size=32))
+        vectors += [one, unit(one + 0.05 * unit(rng.normal(size=32)))]
+    vectors += [unit(rng.normal(size=32)) for _ in range(100)]
+    # No id is a multiple of the audit's old step.
+    return spark.createDataFrame([(51 * 50 * i + 1, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+
+
+def assert_brute_force(table):
+    links, root = brute_vectors(table.collect())
+    for r in neighbours.near_vectors(table).collect():
+        assert (r.n_links, r.component_id) == (links.get(r.vec_id, 0), root[r.vec_id]), r
+
+
+def test_links_between_full_lists_are_kept(spark):
+    table = planted_vectors(spark)
+    assert brute_vectors(table.collect())[0][1] == 23
+    assert_brute_force(table)
+
+
+def test_audit_does_not_grade_its_own_links(spark, monkeypatch):
+    """A search that finds nothing must not pass the audit."""
+    nothing = spark.createDataFrame([], "u long, v long, sim double, link boolean")
+    monkeypatch.setattr(neighbours, "_initial", lambda *_: nothing)
+    monkeypatch.setattr(neighbours, "_round", lambda *_: nothing)
+    assert_brute_force(planted_vectors(spark))
+
+
+def test_tables_grow_with_bits():
+    for bits in range(1, 25):
+        same = (1 - np.arccos(neighbours.THRESHOLD) / np.pi) ** bits
+        assert (1 - same) ** neighbours._tables(bits) <= 0.0501
