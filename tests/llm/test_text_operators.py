@@ -270,3 +270,33 @@ def test_splitting_tree_keeps_quotas(spark):
     assert total == {0: 5000, 1: 3, 2: 700} and max(shard.values()) - min(shard.values()) <= 1
     share = [r.quota for r in leaves if r.s == 2]
     assert 20 < np.mean(share) < 70 and len(set(share)) > 3
+
+
+def fresh(rng, count: int) -> list[str]:
+    return [f"v{i}" for i in rng.integers(0, 10**9, count)]
+
+
+def test_fuzzy_passages_are_recalled(spark):
+    """Passages with a changed word every 17 words, and with 5, 10 and 15 % of the words changed at random."""
+    rng = np.random.default_rng(11)
+    rows, planted = [], {}
+    for rate, least in (("17", 1.0), (0.05, 0.9), (0.1, 0.9), (0.15, 0.4)):
+        for _ in range(40):
+            passage = fresh(rng, 120)
+            edits = np.arange(17, 120, 18) if rate == "17" else np.flatnonzero(rng.random(120) < rate)
+            copy = list(passage)
+            for i in edits:
+                copy[i] = fresh(rng, 1)[0]
+            doc = len(rows)
+            rows += [(doc, " ".join(fresh(rng, 30) + passage + fresh(rng, 30))), (doc + 1, " ".join(fresh(rng, 50) + copy + fresh(rng, 50)))]
+            planted[doc + 1] = (rate, least, len(edits))
+    found = {r.doc_id: r.passages for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    shares, leasts = defaultdict(list), {}
+    for doc, (rate, least, _) in planted.items():
+        inside = sum(max(0, min(p.end, 170) - max(p.begin, 50)) for p in found[doc] or [])
+        shares[rate].append(inside / 120)
+        leasts[rate] = least
+    recall = {rate: np.mean(np.array(s) >= 0.5) for rate, s in shares.items()}
+    assert all(recall[r] >= leasts[r] for r in recall), recall
+    assert min(shares["17"]) >= 0.8, shares["17"]
+    assert all(found[d - 1] is None for d in planted)
