@@ -300,3 +300,14 @@ def test_fuzzy_passages_are_recalled(spark):
     assert all(recall[r] >= leasts[r] for r in recall), recall
     assert min(shares["17"]) >= 0.8, shares["17"]
     assert all(found[d - 1] is None for d in planted)
+
+
+def test_a_passage_quoted_before_in_part_is_found(spark):
+    rng = np.random.default_rng(12)
+    rows = []
+    for doc in range(0, 80, 2):
+        passage = fresh(rng, 50)
+        rows.append((doc, " ".join(fresh(rng, 20) + passage + fresh(rng, 20))))
+        rows.append((doc + 1, " ".join(passage[:30] + fresh(rng, 60) + passage + fresh(rng, 60))))
+    found = {r.doc_id: r.passages for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all([(p.begin, p.end) for p in found[d] or []] == [(90, 140)] for d in range(1, 80, 2)), found
