@@ -100,7 +100,7 @@ def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cut(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[int]] = [[] for _ in range(7)]
+            out: list[list] = [[] for _ in range(8)]
             rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "place", "doc_tokens", "ids")))
             for doc_id, place, tokens, ids in rows:
                 wide = np.frombuffer(ids, "<u2").astype("<u4")
@@ -108,13 +108,13 @@ def _cut(size: int):
                 while start < tokens:
                     sequence, offset = divmod(place + start, size)
                     length = min(tokens - start, size - offset)
-                    crc = zlib.crc32(wide[start : start + length].tobytes())
-                    for column, value in zip(out, (doc_id, start, length, crc, tokens, sequence, offset)):
+                    piece = wide[start : start + length].tobytes()
+                    for column, value in zip(out, (doc_id, start, length, zlib.crc32(piece), tokens, sequence, offset, piece)):
                         column.append(value)
                     start += length
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in out],
-                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+                [*(pa.array(c, pa.int64()) for c in out[:7]), pa.array(out[7], pa.binary())],
+                ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"],
             )
 
     return run
@@ -124,7 +124,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, si
     """Pieces of all documents in full sequences of ``size`` tokens; only the last one can be short.
 
     Documents are laid end to end in Hilbert order of their projected token vectors
-    and cut at every multiple of ``size``.  Null and empty texts are the end id
+    and cut at every multiple of ``size``.  ``ids`` of a piece are its token ids, four
+    bytes each (little-endian), ``ids_crc32`` their checksum.  Null and empty texts are the end id
     alone; repeated rows are packed as often as they occur; ties of the curve follow
     the input order; an empty table gives no rows; other columns are ignored.  The
     vocabulary must stay below 65,536 ids.
@@ -159,5 +160,5 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, si
         "doc_id", "place", "doc_tokens", "ids"
     ).mapInArrow(
         _cut(size),
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
+        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary",
     )

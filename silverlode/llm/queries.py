@@ -30,7 +30,7 @@ def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

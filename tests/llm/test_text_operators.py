@@ -311,3 +311,16 @@ def test_a_passage_quoted_before_in_part_is_found(spark):
         rows.append((doc + 1, " ".join(passage[:30] + fresh(rng, 60) + passage + fresh(rng, 60))))
     found = {r.doc_id: r.passages for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all([(p.begin, p.end) for p in found[d] or []] == [(90, 140)] for d in range(1, 80, 2)), found
+
+
+def test_pieces_hold_the_ids_of_whole_sequences(odd):
+    sequences = defaultdict(list)
+    for p in sorted(packing.pack(odd).collect(), key=lambda p: (p.sequence_id, p.offset)):
+        ids = np.frombuffer(p.ids, "<u4")
+        assert len(ids) == p.length and p.ids_crc32 == crc(ids)
+        sequences[p.sequence_id] += ids.tolist()
+    *full, last = [sequences[i] for i in range(len(sequences))]
+    assert all(len(s) == 2048 for s in full) and 0 < len(last) <= 2048
+    documents = " ".join(map(str, sum(sequences.values(), []))).split(" 1 ")
+    texts = Counter(" ".join(map(str, direct_ids("byte_bpe_50k.json", r.text))) for r in odd.collect() if r.text)
+    assert texts - Counter(d.removesuffix(" 1") for d in documents) == Counter()
