@@ -80,4 +80,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLE_SQL = {"op2_quality_rules": _QUALITY}
+_DIVERGENCE = r"""
+WITH named AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents
+), groups AS (
+    SELECT DISTINCT lang, source FROM named
+), terms AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM named
+), kept AS (
+    SELECT lang, term, count(*) AS lang_n FROM terms GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), langs AS (
+    SELECT lang, count(*) AS v, sum(lang_n) AS total FROM kept GROUP BY lang
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM terms GROUP BY ALL
+), cells AS (
+    SELECT g.lang, g.source, k.term, k.lang_n, coalesce(c.n, 0) AS n
+    FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), shares AS (
+    SELECT c.*, 1 + 1000000000::HUGEINT * (n + 1) // ((sum(n) OVER (PARTITION BY c.lang, c.source)) + v)::HUGEINT AS p,
+        1 + 1000000000::HUGEINT * (lang_n + 1) // (total + v)::HUGEINT AS lang_p
+    FROM cells c JOIN langs l ON l.lang = c.lang
+), sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), telling AS (
+    SELECT lang, source, term AS item, ((p - lang_p) * (p - lang_p) // lang_p)::BIGINT AS value FROM shares WHERE n > 0 AND p > lang_p
+)
+SELECT lang, source, 'pair' AS part, item, value,
+    row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM pairs
+UNION ALL
+SELECT * FROM (
+    SELECT lang, source, 'term' AS part, item, value,
+        row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT AS rank FROM telling
+) WHERE rank <= 200
+"""
+
+ORACLE_SQL = {"op2_quality_rules": _QUALITY, "op11_source_divergence": _DIVERGENCE}
