@@ -121,4 +121,50 @@ SELECT * FROM (
 ) WHERE rank <= 200
 """
 
-ORACLE_SQL = {"op2_quality_rules": _QUALITY, "op11_source_divergence": _DIVERGENCE}
+_SPELLING = r"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, step: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t
+    FROM range(256) AS s(i)
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+    FROM documents
+), counted AS (
+    SELECT doc_id, run, count(*) AS n, hex(encode(doc_id || ':' || run)) AS bytes FROM runs WHERE length(run) >= 5 GROUP BY ALL
+), hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(range(0, length(bytes) // 2), lambda i: ('0x' || bytes[2 * i + 1 : 2 * i + 2])::BIGINT)),
+        lambda c, b: xor(c // 256, t[xor(c, b) % 256 + 1]))) AS h
+    FROM counted, crc_table
+), spelt AS (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n
+    FROM hashed
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), gaps AS (
+    SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS shorter, substr(word, 1, i) || '?' || substr(word, i + 2) AS hole
+    FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM words)
+), near AS (
+    SELECT a.word, b.word AS other, b.n AS other_n FROM gaps a JOIN gaps b ON a.hole = b.hole AND a.word <> b.word
+    UNION SELECT g.word, w.word, w.n FROM gaps g JOIN words w ON g.shorter = w.word
+    UNION SELECT w.word, g.word, g.n FROM gaps g JOIN words w ON g.shorter = w.word
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM near
+), formed AS (
+    SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN other_n >= 2 * w.n THEN other END AS form,
+        CASE WHEN other_n >= 2 * w.n THEN other_n END AS form_n
+    FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.place = 1
+), chains AS (
+    SELECT word, word AS root, 0 AS steps FROM words
+    UNION ALL SELECT c.word, f.form, steps + 1 FROM chains c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL
+), lasts AS (
+    SELECT word, arg_max(root, steps) AS root FROM chains GROUP BY word
+)
+SELECT f.word, form, root, n, n_near, form_n FROM formed f JOIN lasts l ON l.word = f.word
+"""
+
+ORACLE_SQL = {
+    "op2_quality_rules": _QUALITY,
+    "op11_source_divergence": _DIVERGENCE,
+    "op12_spelling_variants": _SPELLING,
+}

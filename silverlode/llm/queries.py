@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import divergence, lengths, mixing, neardup, neighbours, packing, passages, quality, quotes, token_files, toxicity
+from silverlode.llm import divergence, lengths, mixing, neardup, neighbours, packing, passages, quality, quotes, spelling, token_files, toxicity
 from silverlode.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.length_histogram(table(spark, sf_dir, "documents"))
 
@@ -69,4 +73,5 @@ QUERIES = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_length_histogram": op10_length_histogram,
     "op11_source_divergence": op11_source_divergence,
+    "op12_spelling_variants": op12_spelling_variants,
 }
