@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import divergence, lengths, mixing, neardup, neighbours, packing, passages, quality, quotes, spelling, token_files, toxicity
+from silverlode.llm import divergence, lengths, mixing, neardup, neighbours, packing, passage_quality, passages, quality, quotes, spelling, token_files, toxicity
 from silverlode.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_passage_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_quality.passage_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.length_histogram(table(spark, sf_dir, "documents"))
 
@@ -74,4 +78,5 @@ QUERIES = {
     "op10_length_histogram": op10_length_histogram,
     "op11_source_divergence": op11_source_divergence,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_passage_quality": op13_passage_quality,
 }
