@@ -20,7 +20,7 @@ from silverlode.plans.checks import BRONZE_REFERENCES, BRONZE_RULES
 from silverlode.schemas import FX_SOURCE, PARTNER_FEEDS, SHOP_FILES, TABLES, FileSource
 from silverlode.session import path_exists
 from silverlode.sinks.tables import LoadReport, TableStore
-from silverlode.sources import csv, files, rates
+from silverlode.sources import csv, csv_blocks, files, rates
 
 FILE_LOG = "logs.file_ingestion_log"
 STATUS_SCHEMA = "source STRING, table_name STRING, status STRING, reason STRING, rows_read BIGINT, rows_inserted BIGINT"
@@ -31,8 +31,14 @@ def _status(store: TableStore, rows: list[tuple]) -> DataFrame:
 
 
 # --- bronze -------------------------------------------------------------------------
-def load_shop_files(store: TableStore, folder: str, batch_id: str, loaded_at: datetime) -> DataFrame:
-    """Load the one-file-per-table CSVs; missing and empty files are reported and skipped, missing columns noted."""
+def load_shop_files(
+    store: TableStore, folder: str, batch_id: str, loaded_at: datetime, parallel: bool = False
+) -> DataFrame:
+    """Load the one-file-per-table CSVs; missing and empty files are reported and skipped, missing columns noted.
+
+    ``parallel`` reads a file by many tasks (see :mod:`silverlode.sources.csv_blocks`).
+    """
+    read_named = csv_blocks.read_named if parallel else csv.read_named
     if not path_exists(store.spark, folder):
         raise FileNotFoundError(f"raw folder not found: {folder}")
     outcome = []
@@ -41,7 +47,7 @@ def load_shop_files(store: TableStore, folder: str, batch_id: str, loaded_at: da
         if not path_exists(store.spark, path):
             outcome.append((source.location, source.table, "skipped", "file_not_found", 0, 0))
             continue
-        rows = csv.read_named(store.spark, path, source.schema).drop(csv.FILE_COLUMN)
+        rows = read_named(store.spark, path, source.schema).drop(csv.FILE_COLUMN)
         if rows.isEmpty():
             outcome.append((source.location, source.table, "skipped", "empty_file", 0, 0))
             continue
@@ -321,7 +327,9 @@ def check_ready(store: TableStore) -> DataFrame:
 
 
 # --- taxi ---------------------------------------------------------------------------
-def append_trip_files(store: TableStore, folder: str, pattern: str = "yellow_tripdata_*.csv") -> DataFrame:
+def append_trip_files(
+    store: TableStore, folder: str, pattern: str = "yellow_tripdata_*.csv", parallel: bool = False
+) -> DataFrame:
     """Bulk append of every trip file, no de-duplication; reports the row count delta per file.
 
     A malformed file is rolled back (its append never commits) and the next one is tried.
@@ -329,9 +337,10 @@ def append_trip_files(store: TableStore, folder: str, pattern: str = "yellow_tri
     listed = files.discover(store.spark, folder, pattern).orderBy("file_name").collect()
     outcome = []
     schema = TABLES["taxi.trips_raw"].schema
+    read_positional = csv_blocks.read_positional if parallel else csv.read_positional
     for found in listed:
         try:
-            rows = csv.read_positional(store.spark, found.path, _trip_schema(schema), strict=True)
+            rows = read_positional(store.spark, found.path, _trip_schema(schema), strict=True)
             report = store.append("taxi.trips_raw", rows.withColumn("source_file", F.lit(found.file_name)))
             outcome.append(
                 (found.file_name, "success", report.rows_before, report.rows_inserted, report.rows_after)
@@ -349,9 +358,17 @@ def _trip_schema(schema):
 
 
 def load_trips(
-    store: TableStore, folder: str, loaded_at: datetime, pattern: str = "yellow_tripdata_*.csv"
+    store: TableStore,
+    folder: str,
+    loaded_at: datetime,
+    pattern: str = "yellow_tripdata_*.csv",
+    parallel: bool = False,
 ) -> LoadReport | None:
-    """Changed trip files: filter, hash, insert the new trips, record the files."""
+    """Changed trip files: filter, hash, insert the new trips, record the files.
+
+    ``parallel`` reads a file by many tasks (see :mod:`silverlode.sources.csv_blocks`).
+    """
+    read_positional = csv_blocks.read_positional if parallel else csv.read_positional
     found = files.fingerprints(store.spark, folder, pattern)
     seen = store.rows("taxi.loaded_files").select(F.col("filename").alias("file_name"), "file_checksum")
     fresh = found.join(seen, ["file_name", "file_checksum"], "left_anti").collect()
@@ -360,7 +377,7 @@ def load_trips(
             raise FileNotFoundError(f"no trip files under {folder}")
         return None
     staged = taxi.stage(
-        csv.read_positional(
+        read_positional(
             store.spark, [row.path for row in fresh], _trip_schema(TABLES["taxi.trips_raw"].schema)
         )
     )

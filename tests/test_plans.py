@@ -129,3 +129,25 @@ def test_numbering_joins_its_offsets_without_shuffling_the_rows(spark):
     text = plan(number_rows(rows, ["k"], "n", group_by=["g"]))
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
     assert "Window" not in text
+
+
+def test_quiet_csv_blocks_are_parsed_where_they_are_read(spark, tmp_path):
+    """A file without line breaks in cells costs no shuffle of its text, however many blocks it has."""
+    from pyspark.sql import types as T
+
+    from silverlode.sources import csv_blocks
+
+    path = tmp_path / "quiet.csv"
+    path.write_text("id,note\n" + "".join(f'{i},"x, {i}"\n' for i in range(2000)))
+    keys = {"spark.sql.files.maxPartitionBytes": "4000", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        got = csv_blocks.read_named(spark, str(path), T.StructType.fromDDL("id INT, note STRING"))
+        text = plan(got)
+        assert "Exchange hashpartitioning" not in text and "BroadcastHashJoin" in text
+        assert got.rdd.getNumPartitions() > 4 and got.count() == 2000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -184,3 +184,81 @@ def test_every_table_has_a_parsable_schema_and_its_keys(spark):
     for spec in TABLES.values():
         assert set(spec.keys) <= set(spec.schema.names), spec.name
         assert set(spec.defaults) <= set(spec.schema.names), spec.name
+
+
+# --- parallel CSV scans -------------------------------------------------------------
+@pytest.fixture(params=[64, 100_000])
+def small_blocks(spark, request):
+    """Scans cut into blocks of a few bytes."""
+    keys = {"spark.sql.files.maxPartitionBytes": str(request.param), "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+CELLS = ["a", "", '"x"', '"line\nbreak"', '"q""uo""te"', '"""\n\n"""', '"a,b"', "é", '"' + "long\n" * 30 + '"', '""', " sp ", '"\r\n,"']
+THREE = T.StructType().add("id", T.IntegerType()).add("one", T.StringType()).add("two", T.StringType())
+
+
+def csv_text(seed, count, eol="\n", last=True):
+    import random
+
+    rng = random.Random(seed)
+    lines = ["id,one,two", *(f"{i},{rng.choice(CELLS)},{rng.choice(CELLS)}" for i in range(count))]
+    return eol.join(lines) + (eol if last else "")
+
+
+def raw(path, text):
+    path.write_bytes(text.encode())
+    return str(path)
+
+
+@pytest.mark.parametrize("seed, eol, last", [(1, "\n", True), (2, "\n", False), (3, "\r\n", True)])
+def test_parallel_scan_equals_the_multi_line_reader(spark, tmp_path, small_blocks, seed, eol, last):
+    from silverlode.sources import csv_blocks
+
+    text = csv_text(seed, 24, eol, last).replace('"\r\n,"', '"\n,"' if eol == "\r\n" else '"\r\n,"')
+    path = raw(tmp_path / "a b+c.csv", text)
+    lines = csv_blocks._lines(spark, [path])
+    assert (lines.rdd.getNumPartitions() > 8) == (small_blocks < 1000)
+    schema = T.StructType.fromDDL("two STRING, id INT, gone DATE, one STRING")
+    assert rows(csv_blocks.read_named(spark, path, schema, uri=True)) == rows(csv.read_named(spark, path, schema, uri=True))
+    assert rows(csv_blocks.read_positional(spark, path, THREE)) == rows(csv.read_positional(spark, path, THREE))
+    assert rows(csv_blocks.read_positional(spark, path, THREE, strict=True)) == rows(
+        csv.read_positional(spark, path, THREE, strict=True)
+    )
+
+
+def test_parallel_scan_of_several_files_short_rows_and_empty_lines(spark, tmp_path, small_blocks):
+    from silverlode.sources import csv_blocks
+
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for k in range(3):
+        raw(folder / f"{k}.csv", csv_text(10 + k, 12) + '\n\n77,short\n78,a,b,extra\n79,"in\nside",z')
+    raw(folder / "header.csv", "id,one,two\n")
+    assert rows(csv_blocks.read_named(spark, str(folder), THREE)) == rows(csv.read_named(spark, str(folder), THREE))
+    assert csv_blocks.read_named(spark, str(folder / "header.csv"), THREE).isEmpty()
+
+
+@pytest.mark.parametrize("text", ['id,one,two\n1,5" pipe,x\n2,6" rod,y\n', 'id,one,two\n1,"open,x\n2,b,y\n', 'id,one,two\n1,"a" ,x\n'])
+def test_stray_quotes_raise_instead_of_joining_records(spark, tmp_path, text):
+    from silverlode.sources import csv_blocks
+
+    with pytest.raises(Exception, match="a quote outside of a quoted cell"):
+        csv_blocks.read_named(spark, raw(tmp_path / "stray.csv", text), THREE).collect()
+
+
+def test_parallel_scan_refuses_other_headers_and_bad_strict_cells(spark, tmp_path):
+    from silverlode.sources import csv_blocks
+
+    paths = [raw(tmp_path / "a.csv", "id,one,two\n1,2,3\n"), raw(tmp_path / "b.csv", "id,two,one\n1,2,3\n")]
+    with pytest.raises(Exception, match="a header differs"):
+        csv_blocks.read_named(spark, paths, THREE).collect()
+    bad = raw(tmp_path / "c.csv", "id,one,two\nx,2,3\n")
+    assert rows(csv_blocks.read_positional(spark, bad, THREE), "id", "one") == [(None, "2")]
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        csv_blocks.read_positional(spark, bad, THREE, strict=True).collect()

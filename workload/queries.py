@@ -27,7 +27,7 @@ from silverlode.plans.jobs import load_feeds
 from silverlode.schemas import FX_SOURCE, PARTNER_FEEDS, PARTNER_SOURCE, SHOP_SOURCE, TABLES
 from silverlode.session import scratch_path
 from silverlode.sinks.tables import TableStore
-from silverlode.sources import csv, files, rates
+from silverlode.sources import csv, csv_blocks, files, rates
 from silverlode.streaming.feeds import stream_feed
 from workload.adapters import Inputs
 
@@ -200,6 +200,34 @@ def csv_scan_typed(m: Model) -> DataFrame:
     return csv.read_named(m.spark, path, StructType.fromDDL(CUSTOMER_FILE)).drop(csv.FILE_COLUMN)
 
 
+ITEM_FILE = "l_orderkey BIGINT, l_linenumber INT, note STRING, l_extendedprice DECIMAL(12,2), l_shipdate DATE"
+
+
+def csv_parallel(m: Model) -> DataFrame:
+    """Items written as CSV, every fifth with a note of three lines, read back by blocks."""
+    noted = m.table("lineitem").selectExpr(
+        "l_shipdate",
+        "if(l_linenumber = 5, concat('item \\n\\n\"', l_linenumber, '\", of ', l_orderkey), if(l_linenumber = 6, NULL, 'plain')) AS note",
+        "l_linenumber",
+        "CAST(l_extendedprice AS DECIMAL(12,2)) AS l_extendedprice",
+        "l_orderkey",
+    )
+    path = scratch_path(m.spark, "csv-parallel")
+    csv.write_csv(noted, path)
+    return csv_blocks.read_named(m.spark, path, StructType.fromDDL(ITEM_FILE)).drop(csv.FILE_COLUMN)
+
+
+def taxi_stage_csv(m: Model) -> DataFrame:
+    """Trip files read by position and by blocks, then filtered; a bad distance is a NULL that drops its row."""
+    trips = m.trips().withColumn(
+        "trip_distance", F.expr("if(passenger_count = 1 AND vendorid = 2, 'far', string(trip_distance))")
+    )
+    path = scratch_path(m.spark, "trip-files")
+    csv.write_csv(trips.drop("source_file"), path)
+    schema = StructType([f for f in TABLES["taxi.trips_raw"].schema if f.name != "source_file"])
+    return taxi.stage(csv_blocks.read_positional(m.spark, path, schema)).select(*TRIP_OUTPUT[:-1])
+
+
 def file_fingerprint(m: Model) -> DataFrame:
     """Fingerprints of the orders written as one file of ordered lines per month."""
     path = scratch_path(m.spark, "fingerprint")
@@ -414,6 +442,7 @@ def dash_top_products(m: Model) -> DataFrame:
 QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     # sources
     "csv_scan_typed": csv_scan_typed,
+    "csv_parallel": csv_parallel,
     "file_fingerprint": file_fingerprint,
     "feed_ingest": feed_ingest,
     "feed_rows": feed_rows,
@@ -432,6 +461,7 @@ QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "load_delta": load_delta,
     # taxi
     "taxi_stage": lambda m: m.taxi_stage().select(*TRIP_OUTPUT),
+    "taxi_stage_csv": taxi_stage_csv,
     "taxi_dedup": taxi_dedup,
     "taxi_rejects": taxi_rejects,
     "taxi_clean": lambda m: m.taxi_clean(),
