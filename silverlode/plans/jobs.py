@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from silverlode.operators.numbering import pin
 from silverlode.operators.quality import raise_on_critical, run_checks, summarize
-from silverlode.plans import bronze, dashboard, gold, silver, taxi
+from silverlode.plans import bronze, dashboard, gold, incremental, silver, taxi
 from silverlode.plans.checks import BRONZE_REFERENCES, BRONZE_RULES
 from silverlode.schemas import FX_SOURCE, PARTNER_FEEDS, SHOP_FILES, TABLES, FileSource
 from silverlode.session import path_exists
@@ -261,12 +261,17 @@ def build_gold(
     loaded_at: datetime,
     policy: str = "insert_if_absent",
     keep_snapshots: bool = False,
+    incremental_kpis: bool = False,
 ) -> list[LoadReport]:
     """Star schema first, then the KPI tables that read it.
 
-    KPI tables are reloaded as a whole.  ``keep_snapshots`` keeps one delivery row per
-    day instead of only the latest.
+    KPI tables are computed from all facts, or with ``incremental_kpis`` from stored sums
+    to which the facts of this load are added (see :mod:`silverlode.plans.incremental`;
+    each load needs its own ``loaded_at``).  ``keep_snapshots`` keeps one delivery row
+    per day instead of only the latest.
     """
+    if incremental_kpis and policy == "upsert":
+        raise ValueError("replaced facts must be named: use incremental.apply_orders and apply_sales")
     loaded = {"_loaded_at": F.lit(loaded_at).cast("timestamp")}
     orders = store.rows("silver.orders")
 
@@ -300,16 +305,25 @@ def build_gold(
         fact("silver.returns", "gold.fact_returns", gold.fact_returns),
     ]
 
-    facts = store.rows("gold.fact_orders")
-    returned = store.rows("gold.fact_returns")
-    performance = gold.product_performance(
-        store.rows("gold.dim_products"), store.rows("gold.fact_order_items"), returned
-    )
-    delivery = gold.delivery_performance(facts, as_of).withColumns(loaded)
+    products = store.rows("gold.dim_products")
+    if incremental_kpis:
+        incremental.apply_stored(store, loaded_at)
+        daily = incremental.daily_sales_summary(store)
+        performance = incremental.product_performance(store, products)
+        reasons = incremental.return_rate_by_reason(store)
+        delivery = incremental.delivery_performance(store, as_of)
+    else:
+        facts = store.rows("gold.fact_orders")
+        returned = store.rows("gold.fact_returns")
+        daily = gold.daily_sales_summary(facts)
+        performance = gold.product_performance(products, store.rows("gold.fact_order_items"), returned)
+        reasons = gold.return_rate_by_reason(returned)
+        delivery = gold.delivery_performance(facts, as_of)
+    delivery = delivery.withColumns(loaded)
     reports += [
-        store.replace("gold.daily_sales_summary", gold.daily_sales_summary(facts).withColumns(loaded)),
+        store.replace("gold.daily_sales_summary", daily.withColumns(loaded)),
         store.replace("gold.product_performance", performance.withColumns(loaded)),
-        store.replace("gold.return_rate_by_reason", gold.return_rate_by_reason(returned).withColumns(loaded)),
+        store.replace("gold.return_rate_by_reason", reasons.withColumns(loaded)),
         store.upsert("gold.delivery_performance", delivery)
         if keep_snapshots
         else store.replace("gold.delivery_performance", delivery),

@@ -7,7 +7,7 @@ they are stated plainly as DDL text.  ``TableSpec.schema`` turns the text into a
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -26,6 +26,8 @@ class TableSpec:
     ``partition_by`` is ``(new column, source date column)``: files are laid out
     by the month of the source column, so date-bounded readers prune folders.
     ``buckets`` > 0 gives an upsert table a hash-bucket folder per key group.
+    ``bucket_rows`` > 0 stores the table as a :class:`silverlode.sinks.growing.GrowingTable`
+    with buckets of at most so many rows; :meth:`growing` asks for it.
     """
 
     name: str
@@ -35,6 +37,11 @@ class TableSpec:
     defaults: dict[str, object] = field(default_factory=dict)
     partition_by: tuple[str, str] | None = None
     buckets: int = 0
+    bucket_rows: int = 0
+
+    def growing(self, bucket_rows: int = 1_000_000) -> TableSpec:
+        """This table stored in hash buckets that split, for loads that are small beside the table."""
+        return replace(self, partition_by=None, buckets=0, bucket_rows=bucket_rows)
 
     @property
     def schema(self) -> T.StructType:
@@ -256,6 +263,35 @@ _SPECS = [
         ("snapshot_date",),
         "_loaded_at TIMESTAMP",
     ),
+    # --- gold: mergeable sums behind the KPI tables ------------------------------
+    TableSpec(
+        "gold.daily_sales_partials",
+        "sales_date DATE, total_orders BIGINT, delivered_orders BIGINT, cancelled_orders BIGINT, "
+        "delayed_orders BIGINT, total_items BIGINT, gross DECIMAL(30,2), net DECIMAL(30,2), freight DECIMAL(30,2), "
+        "total_returns BIGINT, refund DECIMAL(30,2), applied_at TIMESTAMP",
+        ("sales_date",),
+        bucket_rows=1_000,
+    ),
+    TableSpec(
+        "gold.product_partials",
+        "product_id STRING, sold BIGINT, gross DECIMAL(30,2), net DECIMAL(30,2), back BIGINT, "
+        "refund DECIMAL(30,2), applied_at TIMESTAMP",
+        ("product_id",),
+        bucket_rows=1_000_000,
+    ),
+    TableSpec(
+        "gold.reason_partials",
+        "return_reason STRING, return_count BIGINT, refund DECIMAL(30,2), applied_at TIMESTAMP",
+        ("return_reason",),
+        bucket_rows=1_000,
+    ),
+    TableSpec(
+        "gold.delivery_partials",
+        "scope STRING, total_orders BIGINT, delivered_orders BIGINT, cancelled_orders BIGINT, "
+        "delayed_orders BIGINT, delay_days BIGINT, delays BIGINT, applied_at TIMESTAMP",
+        ("scope",),
+        bucket_rows=1_000,
+    ),
     # --- logs -----------------------------------------------------------------
     TableSpec(
         "logs.file_ingestion_log",

@@ -27,6 +27,7 @@ from silverlode.operators.keyed import (
 from silverlode.operators.numbering import pin
 from silverlode.schemas import TABLES, TableSpec
 from silverlode.session import path_exists
+from silverlode.sinks.growing import GrowingTable
 
 BUCKET = "bucket"
 
@@ -60,6 +61,13 @@ class TableStore:
     def exists(self, table: str) -> bool:
         return path_exists(self.spark, self.path(table))
 
+    def growing(self, table: str) -> GrowingTable | None:
+        """The table as hash buckets that split, if its layout says so."""
+        spec = self.tables[table]
+        if not spec.bucket_rows:
+            return None
+        return GrowingTable(self.spark, self.path(table), spec.schema, spec.keys, spec.bucket_rows)
+
     def stored_schema(self, table: str) -> T.StructType:
         spec = self.tables[table]
         extra = [T.StructField(name, dtype) for name, dtype in self._layout_columns(spec)]
@@ -87,12 +95,19 @@ class TableStore:
         """The stored rows; an absent table reads as empty.  Layout columns are kept for pruning."""
         if not self.exists(table):
             return self._laid_out(self._empty(table), table)
+        if grown := self.growing(table):
+            return grown.read()
         return self.spark.read.schema(self.stored_schema(table)).parquet(self.path(table))
 
     def rows(self, table: str) -> DataFrame:
         """The stored rows without layout columns."""
         return self.read(table).select(*self.tables[table].schema.names)
 
+    def count(self, table: str) -> int:
+        """Stored rows; a growing table has the number in its directory."""
+        grown = self.growing(table)
+        return grown.rows_stored() if grown else self.read(table).count()
+
     # --- shaping ----------------------------------------------------------------
     def conform(self, df: DataFrame, table: str, extra: Sequence[str] = ()) -> DataFrame:
         """The table's columns in order and type; absent columns are NULL or their default."""
@@ -123,6 +138,12 @@ class TableStore:
         folder, so a hot month does not become one giant task or one giant file.
         """
         spec = self.tables[table]
+        if grown := self.growing(table):
+            if mode == "overwrite":
+                grown.replace(df)
+            elif mode == "append" or not self.exists(table):
+                grown.insert(df)
+            return
         folders = [name for name, _ in self._layout_columns(spec)]
         laid_out = self._laid_out(df, table)
         if folders:
@@ -135,9 +156,9 @@ class TableStore:
     # --- policies -----------------------------------------------------------------
     def append(self, table: str, df: DataFrame) -> LoadReport:
         """Plain bulk append, no keys checked."""
-        before = self.read(table).count()
+        before = self.count(table)
         self._write(self.conform(df, table), table, "append")
-        after = self.read(table).count()
+        after = self.count(table)
         return LoadReport(table, after - before, 0, before, after - before, after)
 
     def stage(self, table: str, df: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
@@ -152,6 +173,8 @@ class TableStore:
         spec = self.tables[table]
         keyed, _ = split_null_keys(staged, spec.keys)
         winners = first_per_key(keyed, spec.keys)
+        if self.exists(table) and (grown := self.growing(table)):
+            return grown.absent(winners)
         return absent_from(winners, self.read(table), spec.keys) if self.exists(table) else winners
 
     def insert_fresh(self, table: str, staged: DataFrame, fresh: DataFrame) -> LoadReport:
@@ -162,9 +185,9 @@ class TableStore:
         ).first()
         if offered.rejected:
             self._set_aside(table, staged)
-        before = self.read(table).count()
+        before = self.count(table)
         self._write(fresh.select(*spec.schema.names), table, "append")
-        after = self.read(table).count()
+        after = self.count(table)
         return LoadReport(table, offered.rows, offered.rejected, before, after - before, after)
 
     def _set_aside(self, table: str, staged: DataFrame) -> None:
@@ -191,6 +214,8 @@ class TableStore:
         staged = pin(self._laid_out(self.conform(df, table), table), "batch")
         keyed, _ = split_null_keys(staged, spec.keys)
         winners = latest_per_key(keyed, spec.keys, list(order_by)) if order_by else first_per_key(keyed, spec.keys)
+        if grown := self.growing(table):
+            return self._upsert_grown(table, grown, staged, winners)
         current = self.read(table)
         before = current.count()
         measures = [
@@ -210,12 +235,23 @@ class TableStore:
         after = self.read(table).count()
         return LoadReport(table, offered.rows, offered.rejected, before, after - before, after)
 
+    def _upsert_grown(self, table: str, grown: GrowingTable, staged: DataFrame, winners: DataFrame) -> LoadReport:
+        spec = self.tables[table]
+        offered = staged.agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(has_null_key(spec.keys)).alias("rejected")
+        ).first()
+        if offered.rejected:
+            self._set_aside(table, staged)
+        before = grown.rows_stored()
+        added = grown.upsert(winners)
+        return LoadReport(table, offered.rows, offered.rejected, before, added, before + added)
+
     def replace(self, table: str, df: DataFrame, reads_itself: bool = False) -> LoadReport:
         """Truncate and reload.  A frame that reads the table is written aside first."""
-        before = self.read(table).count()
+        before = self.count(table)
         rows = self.conform(df, table)
         if reads_itself:
             rows = pin(rows, "replacement")
         self._write(rows, table, "overwrite", whole=True)
-        after = self.read(table).count()
+        after = self.count(table)
         return LoadReport(table, after, 0, before, after, after)

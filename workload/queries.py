@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ from silverlode.operators import (
     summarize,
     update_columns,
 )
-from silverlode.plans import bronze, dashboard, gold, silver, taxi
+from silverlode.plans import bronze, dashboard, gold, incremental, silver, taxi
 from silverlode.plans.checks import BRONZE_REFERENCES, BRONZE_RULES
 from silverlode.plans.jobs import load_feeds
 from silverlode.schemas import FX_SOURCE, PARTNER_FEEDS, PARTNER_SOURCE, SHOP_SOURCE, TABLES
@@ -381,6 +381,71 @@ def new_files_only(m: Model) -> DataFrame:
     return files.changed_files(redelivered, manifest)
 
 
+def _growing_store(m: Model, table: str, bucket_rows: int) -> TableStore:
+    return TableStore(m.spark, scratch_path(m.spark, "store"), {table: TABLES[table].growing(bucket_rows)})
+
+
+def upsert_growing(m: Model) -> DataFrame:
+    """Order items in buckets of at most 20,000 rows after three upserts: early items, all of them, and repriced ones."""
+    table = "bronze.order_items"
+    store = _growing_store(m, table, 20_000)
+    items = pin(m.order_items(), "items")
+    early = items.filter(F.col("shipping_limit_date") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+    repriced = items.filter("order_id LIKE '%7'").withColumn("price", F.expr("CAST(price * 2 AS DECIMAL(12,2))"))
+    for batch in (early, items, repriced):
+        store.upsert(table, batch)
+    return store.rows(table).select("order_id", "order_item_id", "product_id", "price")
+
+
+def insert_absent_filtered(m: Model) -> DataFrame:
+    """As ``insert_if_absent``, against a stored table whose fragments are found through filters of their keys."""
+    table = "bronze.order_items"
+    store = _growing_store(m, table, 20_000)
+    items = m.order_items()
+    early = items.filter(F.col("shipping_limit_date") < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+    store.insert_if_absent(table, early)
+    staged = store.stage(table, items)
+    fresh = pin(store.fresh_rows(table, staged), "fresh")
+    store.insert_fresh(table, staged, fresh)
+    return fresh.select(*items.columns)
+
+
+def _in_batches(m: Model, facts: dict[str, DataFrame], apply, table: str) -> TableStore:
+    """A store whose sums in ``table`` got the facts in three loads, split by order."""
+    store = TableStore(m.spark, scratch_path(m.spark, "store"))
+    stored = {name: pin(rows, name) for name, rows in facts.items()}
+    for number in range(3):
+        batch = {n: rows.filter(F.pmod(F.crc32("order_id"), F.lit(3)) == number) for n, rows in stored.items()}
+        apply(store, **batch, loaded_at=LOADED_AT + timedelta(days=number), tables=[table])
+    return store
+
+
+def _orders_in_batches(m: Model, table: str) -> TableStore:
+    return _in_batches(m, {"inserted": m.fact_orders()}, incremental.apply_orders, table)
+
+
+def _sales_in_batches(m: Model, table: str) -> TableStore:
+    facts = {"items": m.fact_order_items(), "returned": m.fact_returns()}
+    return _in_batches(m, facts, incremental.apply_sales, table)
+
+
+def daily_sales_incremental(m: Model) -> DataFrame:
+    return incremental.daily_sales_summary(_orders_in_batches(m, incremental.DAILY))
+
+
+def delivery_incremental(m: Model) -> DataFrame:
+    return incremental.delivery_performance(_orders_in_batches(m, incremental.DELIVERY), AS_OF)
+
+
+def product_performance_incremental(m: Model) -> DataFrame:
+    products = gold.product_rows(m.silver_products())
+    return incremental.product_performance(_sales_in_batches(m, incremental.PRODUCT), products)
+
+
+def return_rate_incremental(m: Model) -> DataFrame:
+    return incremental.return_rate_by_reason(_sales_in_batches(m, incremental.REASON))
+
+
 def update_from(m: Model) -> DataFrame:
     """List prices raised to the highest price sold; products never sold keep theirs."""
     sold = m.order_items().groupBy("product_id").agg(F.max("price").alias("price"))
@@ -456,6 +521,8 @@ QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "insert_twice": insert_twice,
     "upsert_manifest": upsert_manifest,
     "upsert_stored": upsert_stored,
+    "upsert_growing": upsert_growing,
+    "insert_absent_filtered": insert_absent_filtered,
     "new_files_only": new_files_only,
     "update_from": update_from,
     "load_delta": load_delta,
@@ -492,6 +559,10 @@ QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "product_performance": lambda m: m.product_performance(),
     "return_rate_by_reason": lambda m: m.return_rate_by_reason(),
     "delivery_performance": lambda m: m.delivery_performance(),
+    "daily_sales_incremental": daily_sales_incremental,
+    "delivery_incremental": delivery_incremental,
+    "product_performance_incremental": product_performance_incremental,
+    "return_rate_incremental": return_rate_incremental,
     # dashboard
     "dash_date_bounds": lambda m: dashboard.date_bounds(m.daily_sales_summary()),
     "dash_kpis": lambda m: dashboard.period_kpis(m.daily_sales_summary(), *PERIOD),
