@@ -71,7 +71,7 @@ def test_divergence_of_ties_nulls_and_groups_without_terms(spark):
     found = divergence.source_divergence(docs)
     assert ours(found) == by_sql("op11_source_divergence", docs)
     assert found.where("lang = 'en' and source = 'a' and part = 'term'").count() == 0
-    more = spark.createDataFrame([*rows, (9, "other " * 500, "en", "b")], SCHEMA)
+    more = spark.createDataFrame([*rows, *[(i, "other " * 500, "en", "b") for i in (9, 10, 11)]], SCHEMA)
     found = divergence.source_divergence(more)
     assert ours(found) == by_sql("op11_source_divergence", more)
     # 300 equal values: the first 200 by name.
