@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from silverlode.session import scratch_path
 
 ROWS_PER_BATCH = 1000
+BYTES_PER_BATCH = "8m"  # whatever the rows: long texts come in small batches, or alone
 
 
 def prepare(spark: SparkSession) -> None:
@@ -24,6 +25,24 @@ def prepare(spark: SparkSession) -> None:
     if spark.sparkContext.master.startswith("local[") and root not in environment.get("PYTHONPATH", ""):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, environment.get("PYTHONPATH")]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
+
+
+def quoted(names: Iterable[str]) -> list[str]:
+    """Column names as they can be selected, dots and all."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The given names, each with underscores behind it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import store
+from silverlode.llm.common import quoted, store, unused
 
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
@@ -175,18 +175,18 @@ def plan_mix(sized: DataFrame) -> tuple[DataFrame, DataFrame]:
     return targets, store(draws, "draws")
 
 
-def _assigned(rows: DataFrame, targets: DataFrame, draws: DataFrame) -> DataFrame:
-    """``rows`` (with doc_id and source) plus ``_mix``: target, source size and the shards of its copies."""
-    named = targets.select(F.struct("source", "source_size", "target", "s").alias("_t"))
-    drawn = draws.select(F.col("s").alias("_s"), F.col("block").alias("_block"), F.col("draws").alias("_draws"))
-    joined = rows.alias("d").join(named, F.expr("d.source <=> _t.source")).join(
-        drawn, (F.col("_t.s") == F.col("_s")) & (_block("d.doc_id") == F.col("_block")), "left"
+def _assigned(rows: DataFrame, targets: DataFrame, draws: DataFrame, name: str) -> DataFrame:
+    """``rows`` (with doc_id and source) plus ``name``: target, source size and the shards of its copies."""
+    d, t, n, block, found = unused(rows, "_d", "_t", "_s", "_block", "_draws")
+    named = targets.select(F.struct("source", "source_size", "target", "s").alias(t))
+    drawn = draws.select(F.col("s").alias(n), F.col("block").alias(block), F.col("draws").alias(found))
+    joined = rows.alias(d).join(named, F.expr(f"{d}.source <=> {t}.source")).join(
+        drawn, (F.col(f"{t}.s") == F.col(n)) & (_block(f"{d}.doc_id") == F.col(block)), "left"
     )
-    taken = F.filter("_draws", lambda x: x["upto"].isNull() | (_place("d.doc_id") <= x["upto"]))
+    taken = F.filter(found, lambda x: x["upto"].isNull() | (_place(f"{d}.doc_id") <= x["upto"]))
     shards = F.coalesce(F.transform(taken, lambda x: x["shard"]), F.array().cast("array<int>"))
-    return joined.select(
-        *(F.col(f"d.`{c}`") for c in rows.columns), F.struct("_t.source_size", "_t.target", shards.alias("shards")).alias("_mix")
-    )
+    mixed = F.struct(f"{t}.source_size", f"{t}.target", shards.alias("shards")).alias(name)
+    return joined.select(*(f"{d}.{c}" for c in quoted(rows.columns)), mixed)
 
 
 def _sizes(docs: DataFrame) -> DataFrame:
@@ -201,15 +201,21 @@ def mixing_plan(docs: DataFrame) -> DataFrame:
     their block; an empty table gives no rows; other columns are ignored.
     """
     sized = _sizes(docs)
-    planned = _assigned(sized, *plan_mix(sized))
+    planned = _assigned(sized, *plan_mix(sized), "_mix")
     return planned.select(
         "doc_id", "size", "_mix.source_size", "_mix.target", (F.col("size") * F.size("_mix.shards")).alias("taken"), "_mix.shards"
     )
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The mixed rows: every drawn copy of a document, by shard and shuffled within its shard."""
-    planned = _assigned(docs, *plan_mix(_sizes(docs)))
-    copies = planned.select(*docs.columns, F.posexplode("_mix.shards").alias("_copy", "_shard"))
-    shuffled = copies.repartition("_shard").sortWithinPartitions("_shard", F.xxhash64("doc_id", "_copy", F.lit(SEED)))
-    return shuffled.select(*docs.columns)
+    """The mixed rows: every drawn copy of a document, by shard and shuffled within its shard.
+
+    Rows are dealt by ranges of (shard, random order), so a shard larger than a task's
+    share is spread over several tasks.
+    """
+    plan, shard, copy, order = unused(docs, "_mix", "_shard", "_copy", "_order")
+    planned = _assigned(docs, *plan_mix(_sizes(docs)), plan)
+    copies = planned.select(*quoted(docs.columns), F.posexplode(f"{plan}.shards").alias(copy, shard))
+    copies = copies.withColumn(order, F.xxhash64("doc_id", copy, F.lit(SEED)))
+    shuffled = copies.repartitionByRange(shard, order).sortWithinPartitions(shard, order)
+    return shuffled.select(*quoted(docs.columns))

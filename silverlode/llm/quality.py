@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from silverlode.llm.common import store
+from silverlode.llm.common import quoted, store, unused
 from silverlode.llm.words import Words, shingles
 
 CELL = math.log(1.005)
@@ -139,21 +139,23 @@ def judge(docs: DataFrame, name: str = "quality") -> DataFrame:
     flat = counted.select("lang", "source", f"{name}.*")
     limits = store(thresholds(sketches(flat)), "fences")
     columns = [c for c in counted.columns if c != name]
-    fences = limits.select(F.struct(*limits.columns).alias("_fences"))
-    joined = counted.alias("d").join(
-        fences, F.expr("d.lang <=> _fences.lang and d.source <=> _fences.source"), "left"
+    fence, d = unused(counted, "_fences", "_d")
+    fences = limits.select(F.struct(*limits.columns).alias(fence))
+    joined = counted.alias(d).join(
+        fences, F.expr(f"{d}.lang <=> {fence}.lang and {d}.source <=> {fence}.source"), "left"
     )
     base_failed = F.expr(f"{name}.n_words < 10 or 100 * {name}.n_repeat_words > 20 * {name}.n_words")
     inside = F.lit(True)
     for ratio, (expression, _, _) in RATIOS.items():
         over = " / ".join(f"{name}.{part}" for part in expression.split(" / "))
         inside = inside & F.expr(
-            f"coalesce({name}.n_words > 0 and cast(try_divide({over.replace(' / ', ', ')}) as double) between _fences.{ratio}_low and _fences.{ratio}_high, false)"
+            f"coalesce({name}.n_words > 0 and cast(try_divide({over.replace(' / ', ', ')}) as double) between {fence}.{ratio}_low and {fence}.{ratio}_high, false)"
         )
     verdict = F.struct(f"{name}.*", base_failed.alias("base_failed"), (~base_failed & inside).alias("kept"))
-    return joined.select(*(F.col(f"d.`{c}`") for c in columns), verdict.alias(name))
+    return joined.select(*(f"{d}.{c}" for c in quoted(columns)), verdict.alias(name))
 
 
 def reject_low_quality(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns."""
-    return judge(docs, "_quality_verdict").where("_quality_verdict.kept").select(*docs.columns)
+    (name,) = unused(docs, "_quality_verdict")
+    return judge(docs, name).where(f"{name}.kept").select(*quoted(docs.columns))

@@ -131,7 +131,8 @@ def remainder(doc_id):
 def training_sample(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
     """At most ``SAMPLE`` labelled documents outside the held-out part, picked by a hash of their id.
 
-    A document with several labels counts as toxic if one of them says so.
+    A document with several labels counts as toxic if one of them says so; of repeated
+    ids the smallest text is used.
     """
     labelled = (
         labels.where("toxic is not null and doc_id is not null")
@@ -145,7 +146,9 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
         labelled.where("label = 1").orderBy(order, "doc_id").limit(positive)
         .union(labelled.where("label = 0").orderBy(order, "doc_id").limit(SAMPLE - positive))
     )
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string")).join(F.broadcast(picked), "doc_id").select("label", "text")
+    rows = docs.select(F.col("doc_id"), F.col("text").cast("string")).join(F.broadcast(picked), "doc_id")
+    # One text per id, so the bound holds for rows as well.
+    rows = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("label", "text")
     kind = "label int, plus array<long>, minus array<long>"
     features = telling_features(rows.mapInArrow(_training_rows(), kind))
     return rows.mapInArrow(_training_rows(features), kind).toPandas()

@@ -105,3 +105,9 @@ def test_tables_grow_with_bits():
     for bits in range(1, 25):
         same = (1 - np.arccos(neighbours.THRESHOLD) / np.pi) ** bits
         assert (1 - same) ** neighbours._tables(bits) <= 0.0501
+
+
+def test_tiny_and_huge_vectors_are_compared(spark):
+    rows = [(1, [1e-200] * 8), (2, [1.0] * 8), (3, [1e300] * 8), (4, [5e-324] * 8), (5, [1e-200, -1e-200] * 4), (6, [0.0] * 8), (7, [float("inf")] * 8)]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert found == {**{i: (3, 1) for i in range(1, 5)}, **{i: (0, i) for i in (5, 6, 7)}}

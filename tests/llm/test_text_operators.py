@@ -324,3 +324,61 @@ def test_pieces_hold_the_ids_of_whole_sequences(odd):
     documents = " ".join(map(str, sum(sequences.values(), []))).split(" 1 ")
     texts = Counter(" ".join(map(str, direct_ids("byte_bpe_50k.json", r.text))) for r in odd.collect() if r.text)
     assert texts - Counter(d.removesuffix(" 1") for d in documents) == Counter()
+
+
+def test_patchwork_of_shorter_stretches_is_no_passage(spark):
+    """Texts whose stretches of 16, 12 and 8 words stand in different earlier documents stay whole."""
+    rng = np.random.default_rng(13)
+    rows, later = [], []
+    for size in (16, 12, 8):
+        for _ in range(20):
+            stretches = [fresh(rng, size) for _ in range(60 // size + 1)]
+            for stretch in stretches:
+                rows.append((len(rows), " ".join(fresh(rng, 40) + stretch + fresh(rng, 40))))
+            later.append(" ".join(fresh(rng, 20) + sum(stretches, [])[:60] + fresh(rng, 20)))
+    rows += [(10_000 + i, text) for i, text in enumerate(later)]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).where("passages is not null")
+    assert found.isEmpty(), found.select("doc_id", "passages").collect()
+
+
+def test_copies_made_of_known_phrases_are_found(spark):
+    """Exact copies whose every short seed stands in yet earlier documents."""
+    rng = np.random.default_rng(14)
+    phrases = [fresh(rng, 8) for _ in range(150)]
+    rows = [(d, " ".join(sum((phrases[i] for i in rng.permutation(150)[:60]), []))) for d in range(30)]
+    planted = {}
+    for k in range(20):
+        passage = sum((phrases[i] for i in rng.permutation(150)[:8]), [])[:60]
+        rows.append((1000 + k, " ".join(fresh(rng, 30) + passage + fresh(rng, 30))))
+        rows.append((2000 + k, " ".join(fresh(rng, 50) + passage + fresh(rng, 50))))
+        planted[2000 + k] = (50, 110)
+    found = {r.doc_id: r.passages for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    shares = [sum(max(0, min(p.end, b) - max(p.begin, a)) for p in found[d] or []) / (b - a) for d, (a, b) in planted.items()]
+    assert min(shares) == 1.0, shares
+    outside = [sum(p.end - p.begin for p in found[d] or []) - 60 for d in planted]
+    assert max(outside) <= 0, outside
+
+
+CLASHES = "doc_id long, text string, lang string, source string, `meta.a` string, _shard string, _copy string, _mix string, _order string, " + \
+    "_t string, _s string, t string, s string, d string, block string, draws string, _spans string, _span_doc string, _fences string, _quality_verdict string, _passages_cut string"
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    import corpus_pipeline
+
+    text = " ".join(f"word{i} of" for i in range(60))
+    rows = [(i, text + f" end{i}", "en", "a", *["x"] * 17) for i in range(3)] + [(None, None, None, None, *["y"] * 17)]
+    docs = spark.createDataFrame(rows, CLASHES)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, "")
+        assert kept.columns == docs.columns, name
+        assert {tuple(r)[4:] for r in kept.collect()} <= {("x",) * 17, ("y",) * 17}, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() > 0
+
+
+def test_training_rows_are_bounded_by_ids(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 10)
+    docs = spark.createDataFrame([(i % 3, f"text {i}") for i in range(900)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(3)], "doc_id long, toxic int")
+    sample = toxicity.training_sample(docs, labels)
+    assert len(sample) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(3))
