@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from silverlode.llm import mixing, neardup, packing, passages, quality
-from silverlode.llm.common import prepare, store, table
+from silverlode.llm.common import prepare, quoted, store, table, unused
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,7 +23,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that repeat an earlier document are cut from the text."""
     prepare(spark)
-    return passages.cut_passages(docs, "_passages_cut").drop("_passages_cut").select(*docs.columns)
+    (name,) = unused(docs, "_passages_cut")
+    return passages.cut_passages(docs, name).select(*quoted(docs.columns))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
