@@ -90,8 +90,15 @@ def number_text(col: Column) -> Column:
     split = F.concat(F.substr(digits, F.lit(1), whole), F.lit("."), F.substr(digits, whole + 1))
     expanded = F.when(exponent < 0, small).when(F.length(digits) > whole, split).otherwise(padded)
     sign = F.when(col < 0, "-").otherwise("")
-    plain = F.when(col == 0, "0").otherwise(F.regexp_replace(text, r"\.0$", ""))
-    return F.when(text.rlike(scientific), F.concat(sign, expanded)).otherwise(plain)
+    plain = F.when(text.endswith(".0"), F.left(text, F.length(text) - 2)).otherwise(text)
+    # Texts are scientific below 1e-3 and from 1e7 on only; no pattern is tried in between.
+    size = F.abs(col)
+    return (
+        F.when((size >= 1e-3) & (size < 1e7), plain)
+        .when(col == 0, "0")
+        .when(text.rlike(scientific), F.concat(sign, expanded))
+        .otherwise(plain)
+    )
 
 
 def run_together_hash(cols: Iterable[tuple[Column, T.DataType]]) -> Column:

@@ -262,3 +262,41 @@ def test_parallel_scan_refuses_other_headers_and_bad_strict_cells(spark, tmp_pat
     assert rows(csv_blocks.read_positional(spark, bad, THREE), "id", "one") == [(None, "2")]
     with pytest.raises(Exception, match="MALFORMED|malformed"):
         csv_blocks.read_positional(spark, bad, THREE, strict=True).collect()
+
+
+# --- inferred types ------------------------------------------------------------------
+INFERRED = {
+    "int": ["1", "-20", "+3", None, "0"],
+    "bigint": ["1", "9999999999", None, "0", "5"],
+    "decimal(20,0)": ["12345678901234567890", "1", "2", "3", None],
+    "decimal(7,3)": ["1", "-1234.5", "0.125", None, "2.50"],
+    "double": ["1", "2.5", "3e10", "-4E-5", None],
+    "date": ["2024-02-29", None, "1999-12-31", "0001-01-01", None],
+    "timestamp_ntz": ["2024-02-29", "2024-02-29 10:00:00", "2024-02-29T10:00:00.123456", None, None],
+    "string": ["1", "2024-01-01", None, "x", ""],
+    "void": [None] * 5,
+}
+ODD = {"leading zeros": ["007", "12"], "no such day": ["2023-02-30", "2023-02-28"], "too long": ["1" * 39, "2"], "number and date": ["5", "2024-01-01"], "a.dot 'n quote": ["Infinity", "1.5"], "space": [" 1", "2"], "bare dot": ["1.", "2"]}
+
+
+def test_types_are_the_narrowest_that_hold_every_value(spark):
+    from silverlode.sources import inference
+
+    wide = list(zip(*INFERRED.values()))
+    texts = spark.createDataFrame(wide, csv.text_schema([f"c {n}" for n in INFERRED]))
+    assert dict(rows(inference.profile_types(texts), "column_name", "data_type")) == {f"c {n}": n for n in INFERRED}
+    odd = spark.createDataFrame(list(zip(*ODD.values())), csv.text_schema(list(ODD)))
+    assert {r.data_type for r in inference.profile_types(odd).collect()} == {"string"}
+    assert [f.dataType for f in inference.infer_schema(texts.select("c void", "c date"))] == [T.StringType(), T.DateType()]
+    nothing = inference.profile_types(texts.limit(0))
+    assert {(r.data_type, r.n_rows) for r in nothing.collect()} == {("void", 0)} and nothing.count() == len(INFERRED)
+
+
+def test_one_odd_cell_behind_many_rows_decides(spark, tmp_path):
+    from silverlode.sources import inference
+
+    path = write(tmp_path / "late.csv", "id,amount,note\n" + "".join(f"{i},{i}.5,\n" for i in range(20_000)) + "20000,n/a,\"x\ny\"\n")
+    for parallel in (False, True):
+        got = inference.read_inferred(spark, path, parallel)
+        assert [f.dataType.simpleString() for f in got.schema] == ["int", "string", "string", "string"]
+        assert got.where("amount = 'n/a' AND note = 'x\ny'").count() == 1 and got.where("id IS NULL").isEmpty()

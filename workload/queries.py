@@ -27,7 +27,7 @@ from silverlode.plans.jobs import load_feeds
 from silverlode.schemas import FX_SOURCE, PARTNER_FEEDS, PARTNER_SOURCE, SHOP_SOURCE, TABLES
 from silverlode.session import scratch_path
 from silverlode.sinks.tables import TableStore
-from silverlode.sources import csv, csv_blocks, files, rates
+from silverlode.sources import csv, csv_blocks, files, inference, rates
 from silverlode.streaming.feeds import stream_feed
 from workload.adapters import Inputs
 
@@ -217,6 +217,29 @@ def csv_parallel(m: Model) -> DataFrame:
     return csv_blocks.read_named(m.spark, path, StructType.fromDDL(ITEM_FILE)).drop(csv.FILE_COLUMN)
 
 
+MIXED_ORDERS = {
+    "key": "string(o_orderkey)",
+    "big": "string(o_orderkey * 10000000000)",
+    "price": "string(CAST(o_totalprice AS DECIMAL(12,2)))",
+    "share": "if(o_orderkey % 50 = 3, concat(o_custkey, 'E-3'), string(CAST(o_totalprice AS DECIMAL(12,2))))",
+    "day": "if(o_orderkey % 3 = 0, NULL, date_format(o_orderdate, 'yyyy-MM-dd'))",
+    "moment": "if(o_orderkey % 4 = 0, date_format(o_orderdate, 'yyyy-MM-dd'), date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss'))",
+    "late_text": "if(o_orderkey = 7, 'n/a', string(o_custkey))",
+    "zip": "lpad(string(o_custkey), 8, '0')",
+    "no_day": "if(o_orderkey % 2 = 0, '2023-02-30', '2023-02-28')",
+    "status": "o_orderstatus",
+    "nothing": "string(NULL)",
+}
+
+
+def csv_infer_types(m: Model) -> DataFrame:
+    """Types of orders written as CSV: whole columns decide, down to one odd cell."""
+    path = scratch_path(m.spark, "csv-infer")
+    csv.write_csv(m.table("orders").selectExpr(*[f"{sql} AS {name}" for name, sql in MIXED_ORDERS.items()]), path)
+    texts = csv.read_named(m.spark, path, csv.text_schema(list(MIXED_ORDERS)))
+    return inference.profile_types(texts, list(MIXED_ORDERS))
+
+
 def taxi_stage_csv(m: Model) -> DataFrame:
     """Trip files read by position and by blocks, then filtered; a bad distance is a NULL that drops its row."""
     trips = m.trips().withColumn(
@@ -508,6 +531,7 @@ QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     # sources
     "csv_scan_typed": csv_scan_typed,
     "csv_parallel": csv_parallel,
+    "csv_infer_types": csv_infer_types,
     "file_fingerprint": file_fingerprint,
     "feed_ingest": feed_ingest,
     "feed_rows": feed_rows,
