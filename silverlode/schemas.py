@@ -25,6 +25,7 @@ class TableSpec:
     ``keys`` decide idempotence.  ``defaults`` fill absent or NULL columns.
     ``partition_by`` is ``(new column, source date column)``: files are laid out
     by the month of the source column, so date-bounded readers prune folders.
+    ``not_null`` columns are required beside the keys.
     ``buckets`` > 0 gives an upsert table a hash-bucket folder per key group.
     ``bucket_rows`` > 0 stores the table as a :class:`silverlode.sinks.growing.GrowingTable`
     with buckets of at most so many rows; :meth:`growing` asks for it.
@@ -38,6 +39,12 @@ class TableSpec:
     partition_by: tuple[str, str] | None = None
     buckets: int = 0
     bucket_rows: int = 0
+    not_null: tuple[str, ...] = ()
+
+    @property
+    def required(self) -> tuple[str, ...]:
+        """Columns whose NULL sets a row aside."""
+        return (*self.keys, *(c for c in self.not_null if c not in self.keys))
 
     def growing(self, bucket_rows: int = 1_000_000) -> TableSpec:
         """This table stored in hash buckets that split, for loads that are small beside the table."""
@@ -184,6 +191,9 @@ _SPECS = [
         "date_key DATE, year INT, quarter INT, month INT, month_name STRING, week_of_year INT, "
         "day_of_month INT, day_of_week INT, day_name STRING, is_weekend BOOLEAN",
         ("date_key",),
+        not_null=(
+            "year", "quarter", "month", "month_name", "day_of_month", "day_of_week", "day_name", "is_weekend",
+        ),
     ),
     TableSpec(
         "gold.dim_customers",

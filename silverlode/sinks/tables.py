@@ -171,17 +171,17 @@ class TableStore:
     def fresh_rows(self, table: str, staged: DataFrame) -> DataFrame:
         """One row per complete key of the batch that the table does not hold yet."""
         spec = self.tables[table]
-        keyed, _ = split_null_keys(staged, spec.keys)
+        keyed, _ = split_null_keys(staged, spec.required)
         winners = first_per_key(keyed, spec.keys)
         if self.exists(table) and (grown := self.growing(table)):
             return grown.absent(winners)
         return absent_from(winners, self.read(table), spec.keys) if self.exists(table) else winners
 
     def insert_fresh(self, table: str, staged: DataFrame, fresh: DataFrame) -> LoadReport:
-        """Append ``fresh``; rows of the batch with a NULL key go to ``<table>_rejects``."""
+        """Append ``fresh``; rows of the batch with a NULL in a required column go to ``<table>_rejects``."""
         spec = self.tables[table]
         offered = staged.agg(
-            F.count(F.lit(1)).alias("rows"), F.count_if(has_null_key(spec.keys)).alias("rejected")
+            F.count(F.lit(1)).alias("rows"), F.count_if(has_null_key(spec.required)).alias("rejected")
         ).first()
         if offered.rejected:
             self._set_aside(table, staged)
@@ -191,9 +191,9 @@ class TableStore:
         return LoadReport(table, offered.rows, offered.rejected, before, after - before, after)
 
     def _set_aside(self, table: str, staged: DataFrame) -> None:
-        """Append the rows with a NULL key to ``<table>_rejects``."""
+        """Append the rows with a NULL in a required column to ``<table>_rejects``."""
         spec = self.tables[table]
-        _, unkeyed = split_null_keys(staged, spec.keys)
+        _, unkeyed = split_null_keys(staged, spec.required)
         unkeyed.select(*spec.schema.names).write.mode("append").parquet(self.path(table) + "_rejects")
 
     def insert_if_absent(self, table: str, df: DataFrame) -> LoadReport:
@@ -212,7 +212,7 @@ class TableStore:
         """
         spec = self.tables[table]
         staged = pin(self._laid_out(self.conform(df, table), table), "batch")
-        keyed, _ = split_null_keys(staged, spec.keys)
+        keyed, _ = split_null_keys(staged, spec.required)
         winners = latest_per_key(keyed, spec.keys, list(order_by)) if order_by else first_per_key(keyed, spec.keys)
         if grown := self.growing(table):
             return self._upsert_grown(table, grown, staged, winners)
@@ -220,7 +220,7 @@ class TableStore:
         before = current.count()
         measures = [
             F.count(F.lit(1)).alias("rows"),
-            F.count_if(has_null_key(spec.keys)).alias("rejected"),
+            F.count_if(has_null_key(spec.required)).alias("rejected"),
         ]
         if spec.buckets:
             # At most as many values as the table has buckets.
@@ -238,7 +238,7 @@ class TableStore:
     def _upsert_grown(self, table: str, grown: GrowingTable, staged: DataFrame, winners: DataFrame) -> LoadReport:
         spec = self.tables[table]
         offered = staged.agg(
-            F.count(F.lit(1)).alias("rows"), F.count_if(has_null_key(spec.keys)).alias("rejected")
+            F.count(F.lit(1)).alias("rows"), F.count_if(has_null_key(spec.required)).alias("rejected")
         ).first()
         if offered.rejected:
             self._set_aside(table, staged)

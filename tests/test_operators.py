@@ -210,3 +210,36 @@ def test_critical_failure_stops_the_run(spark):
     assert tuple(summarize(results).first()) == (3, 1, 0)
     with pytest.raises(ValueError, match="t.null_k=1"):
         raise_on_critical(results)
+
+
+# --- constraints ----------------------------------------------------------------------
+def test_constraints_split_rows_in_one_pass_and_name_what_failed(spark):
+    from silverlode.operators.constraints import check, enforce, failure_counts, not_null, split_rows
+
+    rules = [*not_null("k", "a.b"), check("positive", "v > 0"), check("short", "char_length(`a.b`) < 3")]
+    data = [(1, "x", 5), (None, "y", 1), (2, None, -1), (3, "long", None), (4, "", 0)]
+    df = spark.createDataFrame(data, "k INT, `a.b` STRING, v INT")
+    kept, rejected = split_rows(df, rules)
+    assert rows(kept) == [(1, "x", 5)] and kept.columns == df.columns
+    assert {r.k: r._failed for r in rejected.collect()} == {
+        None: ["k_not_null"], 2: ["a.b_not_null", "positive"], 3: ["short"], 4: ["positive"]
+    }
+    assert rows(failure_counts(df, rules)) == sorted(
+        [("k_not_null", 1, 5), ("a.b_not_null", 1, 5), ("positive", 2, 5), ("short", 1, 5)], key=repr
+    )
+    assert rows(enforce(df.where("k = 1"), rules)) == [(1, "x", 5)]
+    with pytest.raises(Exception, match="violated constraints: a.b_not_null, positive"):
+        enforce(df.where("k = 2"), rules).collect()
+    assert split_rows(df.limit(0), rules)[0].isEmpty() and split_rows(df, [])[0].count() == 5
+    with pytest.raises(ValueError):
+        split_rows(df, rules * 16)
+
+
+def test_required_columns_set_rows_aside(spark, tmp_path):
+    from silverlode.schemas import TableSpec
+    from silverlode.sinks import TableStore
+
+    store = TableStore(spark, str(tmp_path), {"x.t": TableSpec("x.t", "k INT, v STRING", ("k",), not_null=("v",))})
+    report = store.insert_if_absent("x.t", spark.createDataFrame([(1, "a"), (2, None), (None, "c")], "k INT, v STRING"))
+    assert (report.rows_rejected, report.rows_inserted) == (2, 1)
+    assert rows(store.rows("x.t")) == [(1, "a")] and spark.read.parquet(store.path("x.t") + "_rejects").count() == 2

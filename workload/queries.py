@@ -21,6 +21,7 @@ from silverlode.operators import (
     summarize,
     update_columns,
 )
+from silverlode.operators.constraints import check, not_null, split_rows
 from silverlode.plans import bronze, dashboard, gold, incremental, silver, taxi
 from silverlode.plans.checks import BRONZE_REFERENCES, BRONZE_RULES
 from silverlode.plans.jobs import load_feeds
@@ -404,6 +405,23 @@ def new_files_only(m: Model) -> DataFrame:
     return files.changed_files(redelivered, manifest)
 
 
+ITEM_CONSTRAINTS = [
+    *not_null("order_id", "product_id", "price", "discount_rate"),
+    check("price_positive", "price > 0"),
+    check("freight_below_price", "freight_value <= price"),
+]
+
+
+def constraint_split(m: Model) -> DataFrame:
+    """Failures per item constraint among the rows set aside, and how many rows went each way."""
+    kept, rejected = split_rows(m.landed()["bronze.order_items"], ITEM_CONSTRAINTS)
+    failed = rejected.select(F.explode("_failed").alias("constraint_name")).groupBy("constraint_name").agg(
+        F.count(F.lit(1)).alias("rows_failed")
+    )
+    sizes = {f"rows_{n}": df.agg(F.count(F.lit(1))).scalar() for n, df in (("kept", kept), ("rejected", rejected))}
+    return failed.select("constraint_name", "rows_failed", *[size.alias(name) for name, size in sizes.items()])
+
+
 def _growing_store(m: Model, table: str, bucket_rows: int) -> TableStore:
     return TableStore(m.spark, scratch_path(m.spark, "store"), {table: TABLES[table].growing(bucket_rows)})
 
@@ -599,6 +617,7 @@ QUERIES: dict[str, Callable[[Model], DataFrame]] = {
     "dq_bronze": dq_bronze,
     "dq_orphans": dq_orphans,
     "dq_summary": dq_summary,
+    "constraint_split": constraint_split,
     "table_counts": lambda m: dashboard.table_counts(m.gold_tables()),
     "readiness": lambda m: dashboard.readiness(m.gold_tables()),
 }
