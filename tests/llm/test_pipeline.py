@@ -7,7 +7,7 @@ from tests.llm.conftest import SF
 def test_stages_keep_the_columns_and_the_clean(spark, odd):
     import __spark_entry__
 
-    assert "pipeline" in __spark_entry__.queries() and all(any(q.startswith(f"op{n}_") for q in __spark_entry__.queries()) for n in range(1, 11))
+    assert "pipeline" in __spark_entry__.queries() and all(any(q.startswith(f"op{n}_") for q in __spark_entry__.queries()) for n in range(1, 14))
     docs, before = odd, odd.count()
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, SF)
