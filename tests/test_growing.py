@@ -229,3 +229,39 @@ def test_product_and_reason_sums_equal_the_full_tables(spark, sums):
         incremental.apply_sales(sums, items.where(part), returned.where(part), datetime(2024, 4, n + 1))
     assert rows(incremental.product_performance(sums, products)) == rows(gold.product_performance(products, items, returned))
     assert rows(incremental.return_rate_by_reason(sums)) == rows(gold.return_rate_by_reason(returned))
+
+
+def test_gold_built_by_increments_equals_gold_built_from_all_facts(spark, tmp_path):
+    from silverlode.plans import jobs
+
+    store = TableStore(spark, str(tmp_path / "platform"))
+
+    def deliver(start, stop):
+        ids = spark.range(start, stop).selectExpr("id", "concat('o', id) AS order_id", "concat('c', id) AS customer_id", "concat('p', id) AS product_id")
+        store.append("silver.customers", ids)
+        store.append("silver.products", ids.selectExpr("product_id", "if(id % 2 = 0, 'toys', 'books') AS product_category_name"))
+        store.append("silver.orders", ids.selectExpr(
+            "order_id", "customer_id", "timestamp_ntz'2024-01-01 08:00:00' + make_dt_interval(int(id % 5)) AS order_purchase_timestamp",
+            "id % 2 = 0 AS is_delivered", "id % 3 = 0 AS is_cancelled", "id % 4 = 0 AS is_delayed", "int(id % 4) AS delivery_delay_days"))
+        store.append("silver.order_items", ids.selectExpr(
+            "order_id", "1 AS order_item_id", "concat('p', id % 7) AS product_id", "id + 0.5 AS price", "1.25 AS freight_value", "id + 0.25 AS line_total"))
+        store.append("silver.returns", ids.where("id % 3 = 1").selectExpr(
+            "concat('r', id) AS return_id", "order_id", "concat('p', id % 7) AS product_id", "if(id % 2 = 0, 'late', 'broken') AS return_reason", "id * 0.1 AS refund_amount"))
+
+    for day, (start, stop) in enumerate([(0, 12), (12, 20)], 1):
+        deliver(start, stop)
+        jobs.build_gold(store, AS_OF, datetime(2024, 4, day), incremental_kpis=True)
+    facts, items, returned = (store.rows(f"gold.fact_{t}") for t in ("orders", "order_items", "returns"))
+    assert facts.count() == 20
+    for table, full in (
+        ("gold.daily_sales_summary", gold.daily_sales_summary(facts)),
+        ("gold.product_performance", gold.product_performance(store.rows("gold.dim_products"), items, returned)),
+        ("gold.return_rate_by_reason", gold.return_rate_by_reason(returned)),
+        ("gold.delivery_performance", gold.delivery_performance(facts, AS_OF)),
+    ):
+        assert rows(store.rows(table).drop("_loaded_at")) == rows(full), table
+    before = rows(incremental.daily_sales_summary(store))
+    incremental.rebuild(store, datetime(2024, 4, 9))
+    assert rows(incremental.daily_sales_summary(store)) == before
+    with pytest.raises(ValueError):
+        jobs.build_gold(store, AS_OF, datetime(2024, 4, 3), policy="upsert", incremental_kpis=True)
