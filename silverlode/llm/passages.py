@@ -2,12 +2,19 @@
 
 Seeds are word k-mers picked by winnowing, in two lengths.  Short ones find edited copies:
 any shared run of ``KMER + WINDOW - 1`` words shares one.  Long ones find copies whose
-short seeds all stand somewhere else before: any shared run of 40 words shares one, and
-whoever holds it first holds that many words in a row.  Each place of a seed is joined to
-the first place in the first document that holds it; matches with one earlier document
-are chained by a Fenwick tree with gap costs, and chains are aligned word by word.  A
-chain counts by itself: only a stretch of ``LEAST_WORDS`` words aligned with one earlier
-document is a passage, never a patchwork of shorter stretches of several.
+short seeds all stand somewhere else before: any shared run of 40 words shares one.  Each
+place of a seed is joined to the first place in the first document that holds it; matches
+with one earlier document are chained by a Fenwick tree with gap costs, and chains are
+aligned word by word.  A chain counts by itself: only a stretch of ``LEAST_WORDS`` words
+aligned with one earlier document is a passage, never a patchwork of shorter stretches of
+several.
+
+The first holder of a long seed may go on otherwise than a later one, so places whose
+words around the seed are not those of the first holder are joined further: to the first
+place with the same words around it, and, for the first such place, by each run of
+``LEAST_WORDS`` words around the seed to the first holder of that run.  So every run of
+``LEAST_WORDS`` equal words is found, whoever holds parts of it before, and the work
+stays in proportion to the places.
 """
 
 from __future__ import annotations
@@ -22,12 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from silverlode.llm.common import keyed_groups, quoted, store, unused
-from silverlode.llm.words import Words, shingles, slices
+from silverlode.llm.words import Words, mix, shingles, slices
 
 KMER = 5
 WINDOW = 12
 LONG_KMER, LONG_WINDOW = 20, 21
 LEAST_WORDS = 40
+# Words beside a long seed that a run of LEAST_WORDS words around it can have on one side.
+REACH = LEAST_WORDS - LONG_KMER
 MOST_GAP = 40
 # Two seeds up to MOST_GAP words apart in both texts still gain by being chained.
 GAP_COST = KMER / (2 * MOST_GAP)
@@ -49,26 +58,70 @@ def winnow(kmers: np.ndarray, window: int) -> np.ndarray:
     return np.unique(least + np.arange(len(least)))
 
 
+def around(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of the words in which runs of ``LEAST_WORDS`` words around long seeds at ``at`` can lie.
+
+    ``padded`` are the long k-mers of a text with ``REACH`` empty words before and behind
+    it, so where it begins or ends is part of the hash.
+    """
+    return mix(mix(mix(padded[at]) + padded[at + REACH]) + padded[at + 2 * REACH])
+
+
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    edge = np.zeros(REACH, np.uint64)
     for batch in batches:
         for piece in slices(batch, "text"):
             words = Words(piece.column("text"), lower=True)
             hashes = words.hashes()
             ids = piece.column("doc_id").to_numpy()
-            docs, seeds, places, long = [], [], [], []
+            docs, seeds, places, contexts = [], [], [], []
             for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
                 if b - a < LEAST_WORDS:
                     continue
                 for size, window in ((KMER, WINDOW), (LONG_KMER, LONG_WINDOW)):
-                    kmers = shingles(hashes[a:b], size)
+                    long = size == LONG_KMER
+                    padded = shingles(np.concatenate([edge, hashes[a:b], edge]) if long else hashes[a:b], size)
+                    kmers = padded[REACH:-REACH] if long else padded
                     at = winnow(kmers, window)
                     docs.append(np.full(len(at), ids[i]))
-                    seeds.append(kmers[at].view(np.int64)), places.append(at), long.append(np.full(len(at), size == LONG_KMER))
+                    seeds.append(kmers[at].view(np.int64)), places.append(at)
+                    contexts.append(pa.array(around(padded, at).view(np.int64)) if long else pa.nulls(len(at), pa.int64()))
             if docs:
-                columns = [np.concatenate(c) for c in (docs, seeds, places, long)]
+                columns = [np.concatenate(c) for c in (docs, seeds, places)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2].astype(np.int32)), pa.array(columns[3])],
-                    ["doc_id", "seed", "pos", "long"],
+                    [pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2].astype(np.int32)), pa.concat_arrays(contexts)],
+                    ["doc_id", "seed", "pos", "context"],
+                )
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every run of ``LEAST_WORDS`` words around the long seeds at ``places``, with the seed's place in it."""
+    for batch in batches:
+        for piece in slices(batch, "text"):
+            words = Words(piece.column("text"), lower=True)
+            hashes = words.hashes()
+            docs, runs, places, shifts = [], [], [], []
+            for doc_id, at, a, b in zip(
+                piece.column("doc_id").to_pylist(), piece.column("places").to_pylist(), words.first[:-1], words.first[1:]
+            ):
+                if b - a < LEAST_WORDS:  # a row of the same id with another text
+                    continue
+                found = shingles(hashes[a:b], LEAST_WORDS)
+                place = np.repeat(np.array(at, np.int64), REACH + 1)
+                shift = np.tile(np.arange(REACH + 1), len(at))
+                held = (place - shift >= 0) & (place - shift < len(found))
+                place, shift = place[held], shift[held]
+                docs.append(np.full(len(place), doc_id))
+                runs.append(found[place - shift].view(np.int64)), places.append(place), shifts.append(shift)
+            if docs:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(docs), pa.int64()),
+                        pa.array(np.concatenate(runs)),
+                        pa.array(np.concatenate(shifts).astype(np.int32)),
+                        pa.array(np.concatenate(places).astype(np.int32)),
+                    ],
+                    ["doc_id", "run", "shift", "pos"],
                 )
 
 
@@ -299,23 +352,67 @@ def passages_of(text: pa.Array, spans: pa.Array) -> pa.Array:
     return pa.array([f or None for f in found], kind)
 
 
+# Document and place as one decimal: a fixed-width minimum, so the aggregates hash and sort nothing.
+_PLACE = "cast(doc_id as decimal(20, 0)) * 4294967296 + pos"
+
+
+def _other_pos() -> str:
+    return "cast(first - cast(other as decimal(20, 0)) * 4294967296 as int) as other_pos"
+
+
+def _further_matches(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """Matches of places of long seeds that go on otherwise than the seed's first holder.
+
+    Each place is joined to the first one with the same ``context``.  The first ones of
+    a seed are joined by every run of ``LEAST_WORDS`` words around it.
+    """
+    first = [F.min("doc_id").alias("other"), F.min(F.expr(_PLACE)).alias("first"), F.max("doc_id").alias("last")]
+    usual = store(places.groupBy("seed", "context").agg(*first), "contexts").selectExpr("seed", "context", "other", _other_pos(), "last")
+    same = places.select("doc_id", "pos", "seed", "context").join(
+        usual.where("last > other").hint("merge"), ["seed", "context"]
+    ).where("doc_id > other")
+
+    several = usual.groupBy("seed").agg(F.min("other").alias("least"), F.max("other").alias("most")).where("most > least")
+    asked = usual.join(several.hint("merge"), "seed", "left_semi").groupBy(F.col("other").alias("doc_id"))
+    asked = store(asked.agg(F.sort_array(F.collect_set("other_pos")).alias("places")), "asked")
+    runs = store(docs.join(asked, "doc_id").mapInArrow(_runs, "doc_id long, run long, shift int, pos int"), "runs")
+    holders = runs.groupBy("run", "shift").agg(*first).where("last > other").selectExpr("run", "shift", "other", _other_pos())
+    equal = runs.join(holders.hint("merge"), ["run", "shift"]).where("doc_id > other")
+    columns = ["doc_id", "other", "pos", "other_pos"]
+    return same.select(*columns).union(equal.select(*columns).distinct()).withColumn("long", F.lit(True))
+
+
 def aligned_spans(docs: DataFrame) -> DataFrame:
     """(``doc_id``, ``spans``): word ranges of ``LEAST_WORDS`` or more aligned with one document of smaller id.
 
-    Repeats within one document give nothing by themselves; repeated rows of one id are
-    not compared with each other.
+    Every run of ``LEAST_WORDS`` equal words is found; edited copies are found by the seeds
+    whose first holder they repeat.  Repeats within one document give nothing by
+    themselves; repeated rows of one id are not compared with each other.
     """
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    seeds = store(docs.mapInArrow(_seeds, "doc_id long, seed long, pos int, long boolean"), "seeds")
-    # Document and place as one decimal: a fixed-width minimum, so the aggregate hashes and sorts nothing.
-    place = "cast(doc_id as decimal(20, 0)) * 4294967296 + pos"
+    seeds = store(docs.mapInArrow(_seeds, "doc_id long, seed long, pos int, context long"), "seeds")
     anchors = (
         seeds.groupBy("seed")
-        .agg(F.min("doc_id").alias("other"), F.min(F.expr(place)).alias("first"), F.max("doc_id").alias("last"))
+        .agg(
+            F.min("doc_id").alias("other"), F.min(F.expr(_PLACE)).alias("first"), F.max("doc_id").alias("last"),
+            F.count(F.lit(1)).alias("places"), F.min_by("context", F.expr(_PLACE)).alias("usual"),
+        )
         .where("last > other")
-        .selectExpr("seed", "other", "cast(first - cast(other as decimal(20, 0)) * 4294967296 as int) as other_pos")
+        .selectExpr("seed", "other", _other_pos(), "places", "usual")
+    )
+    # Two places of a seed are compared with each other; of more, those that go on as the first one does need no more.
+    matched = store(
+        seeds.join(anchors.hint("merge"), "seed")
+        .withColumn("further", F.expr("places > 2 and context <> usual"))
+        .where("doc_id > other or further")
+        .selectExpr(
+            "doc_id", "other", "pos", "other_pos", "context is not null as long",
+            "if(further, seed, null) as seed", "if(further, context, null) as context",
+        ),
+        "matched",
     )
-    matches = seeds.join(anchors.hint("merge"), "seed").where("doc_id > other").drop("seed")
+    columns = ["doc_id", "other", "pos", "other_pos", "long"]
+    matches = matched.where("doc_id > other").select(*columns).union(_further_matches(docs, matched.where("seed is not null")).select(*columns))
     chains = store(
         matches.repartition("doc_id")
         .sortWithinPartitions("doc_id", "other", "pos")
