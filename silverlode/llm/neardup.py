@@ -1,7 +1,7 @@
 """Near-duplicates by improved consistent weighted sampling of TF-IDF word shingles.
 
-1. Shingles that occur in a twentieth of the documents or more are counted exactly;
-   all others share the greatest inverse document frequency.
+1. The document frequency of every shingle is counted: chunks of documents send their
+   distinct shingles by ranges of the hash, and get the totals back in the same order.
 2. Every document gets consistent weighted samples, grouped into bands; documents with
    equal shingle counts are one class from here on.
 3. Classes that share a band are compared by exact weighted Jaccard similarity, in
@@ -14,10 +14,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,30 +27,20 @@ from silverlode.llm.words import Words, mix, shingles, slices
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Shingles in at least 1 / COMMON of the documents have their own document frequency.
-COMMON = 20
 BANDS, ROWS = 16, 4
 #: Most documents compared in one group; a larger band is split.
 BLOCK = 256
 _CELLS = 1 << 16
-_COUNT_CHUNK = 4_000_000
+#: Text bytes of a chunk of documents whose shingles are counted together.
+CHUNK_BYTES = 8_000_000
+#: Bytes of a hash sent within its range, which fixes further bits.
+_KEY_BYTES = 6
+#: Document frequencies whose sampling keys are looked up, not computed.
+_TABLES = 16
 
 
-@dataclass(frozen=True)
-class Weights:
-    """Inverse document frequencies: ``rare`` for all shingles but the sorted ``common`` ones."""
-
-    common: np.ndarray
-    idf: np.ndarray
-    rare: float
-
-    def of(self, found: np.ndarray) -> np.ndarray:
-        out = np.full(len(found), self.rare)
-        if len(self.common) and len(found):
-            place = np.minimum(np.searchsorted(self.common, found), len(self.common) - 1)
-            hit = self.common[place] == found
-            out[hit] = self.idf[place[hit]]
-        return out
+def inverse_frequency(n: np.ndarray, documents: int) -> np.ndarray:
+    return np.log1p(documents / n)
 
 
 def _documents(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -64,73 +54,53 @@ def _documents(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 # --- document frequencies ---------------------------------------------------------------
 
 
-def _locally_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles in at least 1 / (2 COMMON) of the documents of a chunk, and the chunks' sizes.
+def _rows(group: pa.Table, column: str = "text") -> pa.RecordBatch:
+    return group.select([column]).combine_chunks().to_batches()[0]
 
-    A shingle common in the corpus is common in some chunk, so no candidate is lost.
-    """
-    held: list[np.ndarray] = []
-    docs = size = 0
-
-    def flush() -> pa.RecordBatch:
-        found, count = np.unique(np.concatenate(held), return_counts=True)
-        keep = count >= docs / (2 * COMMON)
-        hashes = [None, *found[keep].view(np.int64).tolist()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(hashes, pa.int64()), pa.array([docs, *count[keep].tolist()], pa.int64())], ["shingle", "n"]
-        )
 
-    for batch in batches:
-        for piece in slices(batch, "text"):
-            for found in _documents(piece):
-                if len(found):
-                    held.append(np.unique(found))
-                    docs += 1
-                    size += len(held[-1])
-                if size >= _COUNT_CHUNK:
-                    yield flush()
-                    held, docs, size = [], 0, 0
-    if held:
-        yield flush()
-
-
-def _count_of(candidates: np.ndarray):
+def _chunk_shingles(ranges: int):
+    """The distinct shingles of each chunk by range of their hash, ascending, and how many of its texts have them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(candidates), np.int64)
-        for batch in batches:
-            for piece in slices(batch, "text"):
-                for found in _documents(piece):
-                    if len(found):
-                        place = np.minimum(np.searchsorted(candidates, found), len(candidates) - 1)
-                        total[np.unique(place[candidates[place] == found])] += 1
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(candidates[some].view(np.int64)), pa.array(total[some])], ["shingle", "n"]
-        )
+        for group in keyed_groups(batches, ["chunk"]):
+            names, n = np.unique(np.concatenate([np.unique(f) for f in _documents(_rows(group))]), return_counts=True)
+            if not len(names):
+                continue
+            place = ((names >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+            starts = np.append(0, np.flatnonzero(np.diff(place)) + 1)
+            ends = np.append(starts[1:], len(place))
+            keys = names.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_KEY_BYTES]
+            counts = n.astype("<u4")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(place[starts]),
+                    pa.array(np.full(len(starts), group.column("chunk")[0].as_py(), np.int32)),
+                    pa.array([keys[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                    pa.array([counts[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                ],
+                ["range", "chunk", "keys", "counts"],
+            )
 
     return run
 
 
-def shingle_weights(docs: DataFrame) -> Weights:
-    """Exact document frequencies of common shingles over all texts of ``docs``.
-
-    The driver holds at most 2 COMMON x (mean shingles of a text) candidates: the counts
-    behind each add up to 1 / (2 COMMON) of the documents.
-    """
-    texts = docs.select(F.col("text").cast("string"))
-    local = store(texts.mapInArrow(_locally_common, "shingle long, n long"), "shingles")
-    total = local.where("shingle is null").agg(F.sum("n")).first()[0] or 0
-    rare = float(np.log(1 + COMMON))
-    summed = local.where("shingle is not null").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = summed.where(F.col("n") >= total / (2 * COMMON)).select("shingle").toPandas()
-    candidates = np.sort(rows["shingle"].to_numpy(np.int64).view(np.uint64))
-    if not len(candidates):
-        return Weights(candidates, np.zeros(0), rare)
-    counted = texts.mapInArrow(_count_of(candidates), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    heavy = counted.where(F.col("n") >= total / COMMON).toPandas()
-    common = heavy["shingle"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(common)
-    return Weights(common[order], np.log(1 + total / heavy["n"].to_numpy(np.float64))[order], rare)
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per chunk and range: the document frequencies of its shingles, in their order."""
+    for group in keyed_groups(batches, ["range"]):
+        counts = [np.frombuffer(c, "<u4") for c in group.column("counts").to_pylist()]
+        ends = np.cumsum([len(c) for c in counts])
+        keys = np.zeros((int(ends[-1]), 8), np.uint8)
+        keys[:, :_KEY_BYTES] = np.frombuffer(b"".join(group.column("keys").to_pylist()), np.uint8).reshape(-1, _KEY_BYTES)
+        names, inverse = np.unique(keys.view("<u8").ravel(), return_inverse=True)
+        total = np.bincount(inverse, weights=np.concatenate(counts)).astype("<u4")[inverse]
+        yield pa.RecordBatch.from_arrays(
+            [
+                _rows(group, "chunk").column(0),
+                _rows(group, "range").column(0),
+                pa.array([t.tobytes() for t in np.split(total, ends[:-1])], pa.binary()),
+            ],
+            ["chunk", "range", "frequencies"],
+        )
 
 
 # --- consistent weighted samples --------------------------------------------------------
@@ -148,13 +118,14 @@ class Sampler:
     number; features that fall on one entry are told apart by their hash.
     """
 
-    def __init__(self, samples: int, plain: float):
+    def __init__(self, samples: int, documents: int):
         self.r = -np.log(_uniform(1) * _uniform(2))
         self.log_c = np.log(-np.log(_uniform(3) * _uniform(4)))
         self.b = _uniform(5)
         self.odd = mix(np.arange(samples, dtype=np.uint64) + np.uint64(99)) | np.uint64(1)
-        self.plain = plain
-        self.plain_keys = self._keys(np.arange(_CELLS), np.log(plain))
+        self.documents = documents
+        weights = inverse_frequency(np.arange(1, _TABLES + 1), documents)
+        self.tables = np.stack([self._keys(np.arange(_CELLS), np.log(w)) for w in weights])
 
     def _keys(self, cell: np.ndarray, log_weight) -> np.ndarray:
         t = np.floor(log_weight / self.r[cell] + self.b[cell])
@@ -164,54 +135,95 @@ class Sampler:
         bits = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))
         return bits.astype(np.uint64) << np.uint64(32)
 
-    def sample(self, found: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """One key per sample; equal keys mean that the same feature won at the same level."""
+    def sample(self, found: np.ndarray, count: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """One key per sample of shingles with their counts and document frequencies.
+
+        Equal keys mean that the same feature won at the same level.
+        """
         best = np.full(len(self.odd), np.iinfo(np.uint64).max, np.uint64)
+        log_weight = np.log(inverse_frequency(n, self.documents) * (1 + np.log(count)))
+        listed = (count == 1) & (n <= _TABLES)
         for start in range(0, len(found), 4096):
-            h, w = found[start : start + 4096], weight[start : start + 4096]
+            part = slice(start, start + 4096)
+            h, known = found[part], listed[part]
             cell = ((h[:, None] * self.odd[None, :]) >> np.uint64(48)).astype(np.int64)
-            keys = self.plain_keys[cell]
-            other = np.flatnonzero(w != self.plain)
+            keys = self.tables[np.where(known, n[part].astype(np.int64) - 1, 0)[:, None], cell]
+            other = np.flatnonzero(~known)
             if len(other):
-                keys[other] = self._keys(cell[other], np.log(w[other])[:, None])
+                keys[other] = self._keys(cell[other], log_weight[part][other][:, None])
             keys |= (h & np.uint64(0xFFFFFFFF))[:, None]
             best = np.minimum(best, keys.min(0))
         return best
 
 
-def _signatures(weights: Weights):
+_SIGNED = "doc_id long, one long, two long, bands array<long>, frequencies binary, text string"
+
+
+def _signatures(documents: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(BANDS * ROWS, weights.rare)
+        sampler = Sampler(BANDS * ROWS, documents)
         spread = mix(np.arange(ROWS, dtype=np.uint64)) | np.uint64(1)
-        for batch in batches:
-            for piece in slices(batch, "text"):
-                one, two, bands = [], [], []
-                for found in _documents(piece):
-                    if not len(found):
-                        one.append(None), two.append(None), bands.append(None)
-                        continue
-                    unique, count = np.unique(found, return_counts=True)
-                    weight = weights.of(unique) * (1 + np.log(count))
-                    marked = mix(unique + np.uint64(31) * count.astype(np.uint64))
-                    one.append(int(np.bitwise_xor.reduce(marked).view(np.int64)))
-                    two.append(int(marked.sum().view(np.int64)))
-                    keys = sampler.sample(unique, weight).reshape(BANDS, ROWS)
-                    bands.append(mix((keys * spread).sum(1)).view(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                    ["doc_id", "one", "two", "bands"],
-                )
+        for group in keyed_groups(batches, ["chunk"]):
+            rows = group.filter(pc.is_null(group.column("frequencies")))
+            totals = group.filter(pc.is_valid(group.column("frequencies"))).column("frequencies").to_pylist()
+            totals = np.frombuffer(b"".join(totals), "<u4")
+            texts = list(_documents(_rows(rows)))
+            names = np.unique(np.concatenate(texts))
+            one, two, bands, frequencies = [], [], [], []
+            for found in texts:
+                if not len(found):
+                    one.append(None), two.append(None), bands.append(None), frequencies.append(None)
+                    continue
+                unique, count = np.unique(found, return_counts=True)
+                n = totals[np.searchsorted(names, unique)]
+                marked = mix(unique + np.uint64(31) * count.astype(np.uint64))
+                one.append(int(np.bitwise_xor.reduce(marked).view(np.int64)))
+                two.append(int(marked.sum().view(np.int64)))
+                keys = sampler.sample(unique, count, n).reshape(BANDS, ROWS)
+                bands.append(mix((keys * spread).sum(1)).view(np.int64))
+                frequencies.append(n.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    _rows(rows, "doc_id").column(0), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
+                    pa.array(bands, pa.list_(pa.int64())), pa.array(frequencies, pa.binary()), _rows(rows).column(0),
+                ],
+                [c.split()[0] for c in _SIGNED.split(", ")],
+            )
 
     return run
 
 
+def signatures(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The texts of ``docs`` with class, bands and document frequencies of their distinct shingles, and the number of texts with words.
+
+    Texts meet their chunk's frequencies by chunk, so nothing is held beyond a chunk or a
+    range, of which there are as many as the texts need.
+    """
+    size, documents = docs.agg(
+        F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    ).first()
+    chunks = size // CHUNK_BYTES + 1
+    placed = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
+    sent = (
+        placed.select("chunk", "text").repartition("chunk").sortWithinPartitions("chunk")
+        .mapInArrow(_chunk_shingles(chunks), "range int, chunk int, keys binary, counts binary")
+    )
+    frequencies = store(
+        sent.repartition("range").sortWithinPartitions("range").mapInArrow(_totals, "chunk int, range int, frequencies binary"),
+        "frequencies",
+    )
+    both = placed.withColumn("range", F.lit(-1)).unionByName(frequencies, allowMissingColumns=True)
+    signed = both.repartition("chunk").sortWithinPartitions("chunk", "range").mapInArrow(_signatures(documents), _SIGNED)
+    return store(signed, "signatures"), documents
+
+
 # --- verification -----------------------------------------------------------------------
 
 
-def _expanded(found: np.ndarray, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
+def _expanded(found: np.ndarray, n: np.ndarray, documents: int) -> tuple[np.ndarray, np.ndarray]:
     """A multiset as a set: the j-th occurrence of a shingle is a feature of its own.
 
-    Its weight is the gain of ``1 + ln(count)`` from count j - 1 to j, so the weight two
+    ``n`` are the document frequencies of the distinct shingles, ascending.  A feature's weight is the gain of ``1 + ln(count)`` from count j - 1 to j, so the weight two
     sets share is the sum of the lesser TF-IDF weights.
     """
     found = np.sort(found)
@@ -219,7 +231,8 @@ def _expanded(found: np.ndarray, weights: Weights) -> tuple[np.ndarray, np.ndarr
     begin = np.flatnonzero(fresh)
     turn = np.arange(len(found)) - np.repeat(begin, np.diff(np.append(begin, len(found))))
     gain = np.where(turn > 0, np.log1p(1 / np.maximum(turn, 1)), 1.0)
-    return mix(found + turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), weights.of(found) * gain
+    weight = inverse_frequency(n, documents)[np.cumsum(fresh) - 1]
+    return mix(found + turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), weight * gain
 
 
 def similar_pairs(sets: list[tuple[np.ndarray, np.ndarray]], least: float = SIMILARITY) -> np.ndarray:
@@ -245,14 +258,15 @@ def similar_pairs(sets: list[tuple[np.ndarray, np.ndarray]], least: float = SIMI
     return both >= (least - 1e-9) * (total[:, None] + total[None, :] - both)
 
 
-def _links(weights: Weights):
+def _links(documents: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in keyed_groups(batches, ["bucket", "block"]):
             nodes, index = np.unique(group.column("node").to_numpy(), return_index=True)
             if len(nodes) < 2:
                 continue
-            texts = group.select(["text"]).take(pa.array(index)).combine_chunks().to_batches()[0]
-            sets = [_expanded(found, weights) for found in _documents(texts)]
+            rows = group.select(["text", "frequencies"]).take(pa.array(index)).combine_chunks().to_batches()[0]
+            counted = [np.frombuffer(n, "<u4") for n in rows.column("frequencies").to_pylist()]
+            sets = [_expanded(found, n, documents) for found, n in zip(_documents(rows), counted)]
             near = similar_pairs(sets)
             root = np.arange(len(nodes))
             while True:  # the smallest similar node, until nothing moves
@@ -270,15 +284,14 @@ def _links(weights: Weights):
     return run
 
 
-def _compare(groups: DataFrame, docs: DataFrame, weights: Weights, label: str) -> DataFrame:
+def _compare(groups: DataFrame, texts: DataFrame, documents: int, label: str) -> DataFrame:
     """Links within each (bucket, block) of ``groups``: each node to its local component's smallest."""
-    texts = docs.select(F.col("doc_id").alias("node"), "text")
     return store(
         # Both sides grow with the input: never broadcast, at any size.
         groups.join(texts.hint("merge"), "node")
         .repartition("bucket", "block")
         .sortWithinPartitions("bucket", "block")
-        .mapInArrow(_links(weights), "u long, v long"),
+        .mapInArrow(_links(documents), "u long, v long"),
         label,
     )
 
@@ -298,8 +311,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     are ignored.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    weights = shingle_weights(docs)
-    signed = store(docs.mapInArrow(_signatures(weights), "doc_id long, one long, two long, bands array<long>"), "signatures")
+    signed, documents = signatures(docs)
     worded = signed.where("one is not null and doc_id is not null")
     classes = store(worded.groupBy("one", "two").agg(F.min("doc_id").alias("node")), "classes")
     # The row of the class's smallest id has the bands (equal for all of its members).
@@ -316,6 +328,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     distinct = buckets.where("size > 1").groupBy("size", "low", "print_one", "print_two").agg(F.min(F.struct("band", "key")).alias("b"))
     chosen = store(distinct.select("b.band", "b.key", "size", F.xxhash64("b.band", "b.key").alias("bucket")), "buckets")
     members = store(banded.join(chosen.hint("merge"), ["band", "key"]).select("bucket", "size", "node"), "members")
+    # Only texts that are compared are moved, however often they are.
+    texts = worded.select(F.col("doc_id").alias("node"), "text", "frequencies")
+    texts = store(texts.join(members.select("node").distinct().hint("merge"), "node", "left_semi"), "texts")
 
     split = F.expr(f"pmod(xxhash64(node, 5), {_blocked('size')})").cast("int")
     groups = members.select("bucket", split.alias("block"), "node")
@@ -326,9 +341,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         company = large.groupBy("node").agg(F.sum("size").alias("company"))
         hubs = large.join(company, "node").groupBy("bucket", "size").agg(F.max(F.struct("company", "node")).alias("hub"))
         groups = groups.union(hubs.select("bucket", F.explode(F.sequence(F.lit(0), F.expr(f"{_blocked('size')} - 1"))), "hub.node"))
-    links = _compare(groups, docs, weights, "links")
+    links = _compare(groups, texts, documents, "links")
     if has_large:
-        links = links.union(_compare(_outsiders(large, links), docs, weights, "more-links"))
+        links = links.union(_compare(_outsiders(large, links), texts, documents, "more-links"))
     roots = components(links)
     found = (
         signed.join(classes.hint("merge"), ["one", "two"], "left")
