@@ -68,3 +68,18 @@ def test_frequencies_are_those_of_all_texts(spark, monkeypatch, documents, odd):
     for docs in (documents, odd):
         known = true_classes(docs)
         assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect() if r.doc_id in known} == known
+
+
+def test_large_bands_are_compared_whole_by_true_weights(spark, monkeypatch):
+    """The table of the test of that name in test_text_operators.py, whose reference holds the former cap on frequencies."""
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    rng = np.random.default_rng(3)
+    rows = []
+    for d in range(60):
+        text = [f"b{i}" for i in range(150)]
+        for i in rng.choice(150, d % 7, replace=False):
+            text[i] = f"e{d}_{i}"
+        rows.append((d, " ".join(text)))
+    rows += [(100 + d, " ".join(f"f{d}_{i}" for i in range(50))) for d in range(1300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == true_classes(docs)
