@@ -20,6 +20,7 @@ stays in proportion to the places.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain as chain_of
 
 import numpy as np
 import pyarrow as pa
@@ -46,54 +47,119 @@ MARGIN = LONG_KMER + LONG_WINDOW
 SHORTEST = LEAST_WORDS - KMER - 2 * (WINDOW - 1)
 # Alignment bridges a gap if its edits are at most this share of the words on both sides.
 EDIT_SHARE = 0.2
+# Rows that are joined to the first places of their seeds at once.
+MATCHED_AT_ONCE = 32_000
+# Chains whose ranges of one text are cut at once.
+SLICE = 1 << 16
 # Covered stretches at most this far apart are one passage.
 SLACK = 3
 
 
-def winnow(kmers: np.ndarray, window: int) -> np.ndarray:
-    """Positions of the least k-mer of every window."""
-    if len(kmers) <= window:
-        return np.array([kmers.argmin()]) if len(kmers) else np.zeros(0, np.int64)
-    least = np.lib.stride_tricks.sliding_window_view(kmers, window).argmin(1)
-    return np.unique(least + np.arange(len(least)))
+def least_of_windows(values: np.ndarray, window: int) -> np.ndarray:
+    """Position of the first least value of every window; windows double in width, two overlapping ones give the last."""
+    least, at, width = values, np.arange(len(values)), 1
+    while width < window:
+        step = min(width, window - width)
+        left, right = least[:-step], least[step:]
+        at = np.where(right < left, at[step:], at[:-step])
+        least = np.minimum(left, right)
+        width += step
+    return at
+
+
+def winnow(kmers: np.ndarray, window: int, begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Positions of the least k-mer of every window of texts that stand in one row.
+
+    The windows of a text start at ``begin`` and the ``counts - 1`` places behind it.
+    """
+    starts = np.repeat(begin - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+    at = least_of_windows(kmers, window)[starts]
+    return at[np.concatenate([[True], at[1:] != at[:-1]])]
 
 
 def around(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
     """A hash of the words in which runs of ``LEAST_WORDS`` words around long seeds at ``at`` can lie.
 
-    ``padded`` are the long k-mers of a text with ``REACH`` empty words before and behind
-    it, so where it begins or ends is part of the hash.
+    ``padded`` are the long k-mers of texts with ``REACH`` empty words before and behind
+    each, so where one begins or ends is part of the hash.
     """
     return mix(mix(mix(padded[at]) + padded[at + REACH]) + padded[at + 2 * REACH])
 
 
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    edge = np.zeros(REACH, np.uint64)
     for batch in batches:
         for piece in slices(batch, "text"):
             words = Words(piece.column("text"), lower=True)
-            hashes = words.hashes()
-            ids = piece.column("doc_id").to_numpy()
-            docs, seeds, places, contexts = [], [], [], []
-            for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
-                if b - a < LEAST_WORDS:
-                    continue
-                for size, window in ((KMER, WINDOW), (LONG_KMER, LONG_WINDOW)):
-                    long = size == LONG_KMER
-                    padded = shingles(np.concatenate([edge, hashes[a:b], edge]) if long else hashes[a:b], size)
-                    kmers = padded[REACH:-REACH] if long else padded
-                    at = winnow(kmers, window)
-                    docs.append(np.full(len(at), ids[i]))
-                    seeds.append(kmers[at].view(np.int64)), places.append(at)
-                    contexts.append(pa.array(around(padded, at).view(np.int64)) if long else pa.nulls(len(at), pa.int64()))
-            if docs:
-                columns = [np.concatenate(c) for c in (docs, seeds, places)]
+            counts = words.counts()
+            rows = np.flatnonzero(counts >= LEAST_WORDS)
+            if not len(rows):
+                continue
+            counts, before = counts[rows], words.first[rows]
+            # All long enough texts in a row, with empty words around each: text i begins at begin[i].
+            begin = np.cumsum(counts + 2 * REACH) - counts - REACH
+            own = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            padded = np.zeros(begin[-1] + counts[-1] + REACH, np.uint64)
+            padded[np.repeat(begin, counts) + own] = words.hashes()[np.repeat(before, counts) + own]
+            ids = piece.column("doc_id").to_numpy()[rows]
+            for size, window in ((KMER, WINDOW), (LONG_KMER, LONG_WINDOW)):
+                kmers = shingles(padded, size)
+                at = winnow(kmers, window, begin, counts - size - window + 2)
+                text = np.searchsorted(begin, at, "right") - 1
+                contexts = pa.array(around(kmers, at - REACH).view(np.int64)) if size == LONG_KMER else pa.nulls(len(at), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2].astype(np.int32)), pa.concat_arrays(contexts)],
+                    [pa.array(ids[text]), pa.array(kmers[at].view(np.int64)), pa.array((at - begin[text]).astype(np.int32)), contexts],
                     ["doc_id", "seed", "pos", "context"],
                 )
 
 
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of seeds, sorted by seed, document and place, joined to the seed's first one.
+
+    Kept are the places in later documents and, if a seed has more than two, those that go
+    on otherwise than the first one; these keep ``seed`` and ``context``.  Of a seed that
+    goes on in the next rows only its first place is held, once it is known to have
+    three places and two documents.
+    """
+    open_seed, held, fresh = None, [], 0
+    for batch in chain_of(batches, [None]):
+        if batch is not None:
+            held.append(batch)
+            fresh += batch.num_rows
+            if fresh < MATCHED_AT_ONCE:
+                continue
+        if not held or not sum(b.num_rows for b in held):
+            continue
+        rows = pa.Table.from_batches(held).combine_chunks()
+        doc, seed, pos = (rows.column(c).to_numpy() for c in ("doc_id", "seed", "pos"))
+        long = rows.column("context").is_valid().to_numpy()
+        context = pc.fill_null(rows.column("context"), 0).to_numpy()
+        start = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
+        counts = np.diff(np.append(start, len(seed)))
+        other, other_pos, usual, comparable = doc[start], pos[start], context[start], long[start]
+        many = counts > 2
+        if open_seed is not None and open_seed[0] == seed[0]:
+            other[0], other_pos[0], usual[0], comparable[0], many[0] = *open_seed[1:], True
+        several = doc[start + counts - 1] > other
+        open_seed, held, fresh, groups = None, [], 0, len(start)
+        if batch is not None:
+            if many[-1] and several[-1]:
+                open_seed = seed[-1], other[-1], other_pos[-1], usual[-1], comparable[-1]
+            else:
+                held, groups = rows.slice(start[-1]).to_batches(), groups - 1
+        of = np.repeat(np.arange(groups), counts[:groups])
+        doc, seed, pos, long, context = (c[: len(of)] for c in (doc, seed, pos, long, context))
+        further = (several & many & comparable)[of] & long & (context != usual[of])
+        later = doc > other[of]
+        kept = np.flatnonzero(later | further)
+        if len(kept):
+            of, plain = of[kept], ~further[kept]
+            columns = [doc[kept], other[of], pos[kept], other_pos[of], long[kept]]
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, columns), pa.array(seed[kept], mask=plain), pa.array(context[kept], mask=plain)],
+                ["doc_id", "other", "pos", "other_pos", "long", "seed", "context"],
+            )
+
+
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every run of ``LEAST_WORDS`` words around the long seeds at ``places``, with the seed's place in it."""
     for batch in batches:
@@ -169,11 +235,16 @@ def chain(x: np.ndarray, y: np.ndarray) -> list[list[int]]:
     return chains
 
 
-def _split_at_gaps(x: np.ndarray, y: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+def _split_at_gaps(places: list[int], x: list[int], y: list[int]) -> Iterator[list[int]]:
     """A chain in parts at its wide gaps; equal steps in both texts stay together, as equal runs may fill them."""
-    step_x, step_y = np.diff(x), np.diff(y)
-    wide = np.flatnonzero(((step_x > MOST_GAP) | (step_y > MOST_GAP)) & (step_x != step_y)) + 1
-    return list(zip(np.split(x, wide), np.split(y, wide)))
+    begin = 0
+    for k in range(1, len(places)):
+        i, j = places[k - 1], places[k]
+        step_x, step_y = x[j] - x[i], y[j] - y[i]
+        if (step_x > MOST_GAP or step_y > MOST_GAP) and step_x != step_y:
+            yield places[begin:k]
+            begin = k
+    yield places[begin:]
 
 
 def _merged(spans: list[tuple[int, int]], slack: int) -> list[tuple[int, int]]:
@@ -186,58 +257,96 @@ def _merged(spans: list[tuple[int, int]], slack: int) -> list[tuple[int, int]]:
     return out
 
 
+def _whole_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of rows sorted by document, each with all rows of its documents."""
+    held, fresh = [], 0
+    for batch in batches:
+        held.append(batch)
+        fresh += batch.num_rows
+        if fresh >= MATCHED_AT_ONCE:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            ids = rows.column("doc_id").to_numpy()
+            cut = int(np.searchsorted(ids, ids[-1]))
+            if cut:
+                yield rows.slice(0, cut)
+            held, fresh = rows.slice(cut).to_batches(), 0
+    if any(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Rows that differ from the one before in some column; the first one too."""
+    changed = np.ones(len(columns[0]), bool)
+    changed[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(changed)
+
+
 def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for group in keyed_groups(batches, ["doc_id"]):
-        doc_id = group.column("doc_id")[0].as_py()
-        other, x, y, long = (group.column(c).to_numpy() for c in ("other", "pos", "other_pos", "long"))
-        starts = np.append(0, np.flatnonzero(np.diff(other)) + 1)
-        ends = np.append(starts[1:], len(other))
+    names = ["doc_id", "other", "xs", "ys"]
+    for table in _whole_documents(batches):
+        doc, other, x, y, long = (table.column(c).to_numpy() for c in ("doc_id", "other", "pos", "other_pos", "long"))
+        start = _changes(doc, other)
+        counts = np.diff(np.append(start, len(doc)))
         # Without a further seed an equal run goes on for WINDOW - 1 words at most, so short
         # seeds closer together cannot be those of a passage, unless a long one is with them.
-        hopeful = np.maximum.reduceat(long, starts) | (x[ends - 1] - x[starts] >= SHORTEST)
-        found, seen = [], set()
-        for start, end in zip(starts[hopeful].tolist(), ends[hopeful].tolist()):
-            source, xs, ys, wide = other[start], x[start:end], y[start:end], long[start:end]
-            wide_at = np.unique(xs[wide])
-            places = np.unique(xs.astype(np.int64) << 32 | ys)
-            xs, ys = (places >> 32).astype(np.int32), (places & 0xFFFFFFFF).astype(np.int32)
-            # Copies have all matches on one diagonal: their chain is the row of them.
-            chains = [slice(None)] if (ys - xs == ys[0] - xs[0]).all() else chain(xs, ys)
-            for one in chains:
-                for a, b in _split_at_gaps(xs[one], ys[one]):
+        hopeful = np.logical_or.reduceat(long, start) | (x[start + counts - 1] - x[start] >= SHORTEST)
+        if not hopeful.any():
+            continue
+        doc, other = doc[start], other[start]
+        rows = np.flatnonzero(np.repeat(hopeful, counts))
+        group = np.repeat(np.arange(len(start)), counts)[rows]
+        x, y, long = x[rows], y[rows], long[rows]
+        order = np.lexsort((y, x, group))
+        group, x, y, long = group[order], x[order], y[order], long[order]
+        place = _changes(group, x, y)
+        group, x, y, long = group[place], x[place], y[place], np.logical_or.reduceat(long, place)
+        place = _changes(group, x)
+        wide = np.repeat(np.logical_or.reduceat(long, place), np.diff(np.append(place, len(x))))
+        start = _changes(group)
+        counts = np.diff(np.append(start, len(x)))
+        # Copies have all matches on one diagonal: their chain is the row of them.
+        shift = y - x
+        straight = np.logical_and.reduceat(shift == np.repeat(shift[start], counts), start)
+        whole = straight & (np.logical_or.reduceat(wide, start) | (x[start + counts - 1] - x[start] >= SHORTEST))
+        if whole.any():
+            of, rows = group[start[whole]], np.repeat(whole, counts)
+            offsets = pa.array(np.append(0, np.cumsum(counts[whole])).astype(np.int32))
+            places = (pa.ListArray.from_arrays(offsets, pa.array(c[rows], pa.int32())) for c in (x, y))
+            yield pa.RecordBatch.from_arrays([pa.array(doc[of]), pa.array(other[of]), *places], names)
+        found: list[tuple] = []
+        for first, count in zip(start[~straight].tolist(), counts[~straight].tolist()):
+            one = slice(first, first + count)
+            xs, ys, long_at, seen = x[one], y[one], wide[one].tolist(), set()
+            listed = xs.tolist(), ys.tolist()
+            for places in chain(xs, ys):
+                for part in _split_at_gaps(places, *listed):
+                    if listed[0][part[-1]] - listed[0][part[0]] < SHORTEST and not any(long_at[i] for i in part):
+                        continue
+                    a, b = xs[part], ys[part]
                     # A text that repeats itself needs one chain per stretch; repeats of what it covers are found in the text.
-                    key = (int(source), b.tobytes(), (a - a[0]).tobytes())
-                    if key not in seen and (a[-1] - a[0] >= SHORTEST or np.isin(a, wide_at).any()):
+                    key = b.tobytes(), (a - a[0]).tobytes()
+                    if key not in seen:
                         seen.add(key)
-                        found.append((int(source), a, b))
+                        found.append((int(doc[group[first]]), int(other[group[first]]), a, b))
         if found:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([doc_id] * len(found), pa.int64()),
-                    pa.array([f[0] for f in found], pa.int64()),
-                    pa.array([f[1] for f in found], pa.list_(pa.int32())),
-                    pa.array([f[2] for f in found], pa.list_(pa.int32())),
-                ],
-                ["doc_id", "other", "xs", "ys"],
-            )
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(map(list, zip(*found)), kinds)], names)
 
 
 def _cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The word hashes (32 bits) of the wanted range of each text; rows of one text stand together and are cut at once."""
+    """The word hashes (32 bits) of the wanted ranges of each text."""
     for batch in batches:
         for piece in slices(batch, "text"):
-            ids = piece.column("doc_id").to_numpy()
-            texts = piece.column("text")
-            other = pc.fill_null(pc.not_equal(texts[1:], texts[:-1]), True).to_numpy(zero_copy_only=False)
-            new = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | other]))
-            words = Words(texts.take(pa.array(new)), lower=True)
+            words = Words(piece.column("text"), lower=True)
             hashes = words.hashes().astype(np.uint32)
-            of = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(ids))))
-            begin, end = (piece.column(c).to_numpy() for c in ("begin", "end"))
+            wanted = piece.column("wanted")
+            of = np.repeat(np.arange(len(wanted)), pc.list_value_length(wanted).to_numpy())
+            ranges = pc.list_flatten(wanted)
+            begin, end = (pc.struct_field(ranges, c).to_numpy() for c in ("begin", "end"))
             first, last = words.first[:-1][of] + begin, np.minimum(words.first[:-1][of] + end, words.first[1:][of])
             parts = [hashes[a:b].tobytes() for a, b in zip(first.tolist(), last.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [piece.column("chain"), piece.column("side"), piece.column("begin"), pa.array(parts, pa.binary())],
+                [*(pc.struct_field(ranges, c) for c in ("chain", "side", "begin")), pa.array(parts, pa.binary())],
                 ["chain", "side", "begin", "words"],
             )
 
@@ -295,19 +404,19 @@ def align(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> list[
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in keyed_groups(batches, ["chain"]):
         rows = {r["side"]: r for r in group.to_pylist()}
-        if len(rows) < 2:
+        if len(rows) < 3:
             continue
-        x, y = rows[0], rows[1]
+        x, y, of = rows[0], rows[1], rows[2]
         a, b = (np.frombuffer(r["words"], np.uint32) for r in (x, y))
-        found = align(a, b, np.array(x["seeds"]) - x["begin"], np.array(y["seeds"]) - y["begin"])
+        found = align(a, b, np.array(of["xs"]) - x["begin"], np.array(of["ys"]) - y["begin"])
         stretches = _merged([(s + x["begin"], e + x["begin"]) for s, e in found if e - s >= KMER], SLACK)
         found = [(s, e) for s, e in stretches if e - s >= LEAST_WORDS]
         if found:
             n = len(found)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([x["doc"]] * n, pa.int64()),
-                    pa.array([y["doc"]] * n, pa.int64()),
+                    pa.array([of["doc_id"]] * n, pa.int64()),
+                    pa.array([of["other"]] * n, pa.int64()),
                     pa.array([s for s, _ in found], pa.int64()),
                     pa.array([e for _, e in found], pa.int64()),
                 ],
@@ -320,7 +429,7 @@ def covered_ranges(hashes: np.ndarray, spans: list[dict]) -> list[dict]:
     covered = np.zeros(len(hashes), bool)
     for span in spans:
         covered[span["begin"] : span["end"]] = True
-    if len(hashes) >= KMER:
+    if len(hashes) >= KMER and not covered.all():
         kmers = shingles(hashes, KMER)
         whole = np.lib.stride_tricks.sliding_window_view(covered, KMER).all(1)
         again = np.zeros(len(hashes), bool)
@@ -343,11 +452,12 @@ _RANGE = StructType([StructField("begin", LongType()), StructField("end", LongTy
 
 @F.arrow_udf(ArrayType(_RANGE))
 def passages_of(text: pa.Array, spans: pa.Array) -> pa.Array:
-    words = Words(text, lower=True)
+    found: list = [None] * len(text)
+    rows = pc.indices_nonzero(pc.fill_null(pc.list_value_length(spans), 0))
+    words = Words(text.take(rows), lower=True)
     hashes = words.hashes()
-    found = [
-        covered_ranges(hashes[a:b], s) if s else None for a, b, s in zip(words.first[:-1], words.first[1:], spans.to_pylist())
-    ]
+    for i, a, b, of in zip(rows.to_pylist(), words.first[:-1], words.first[1:], spans.take(rows).to_pylist()):
+        found[i] = covered_ranges(hashes[a:b], of)
     kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("others", pa.list_(pa.int64()))]))
     return pa.array([f or None for f in found], kind)
 
@@ -390,25 +500,12 @@ def aligned_spans(docs: DataFrame) -> DataFrame:
     themselves; repeated rows of one id are not compared with each other.
     """
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    seeds = store(docs.mapInArrow(_seeds, "doc_id long, seed long, pos int, context long"), "seeds")
-    anchors = (
-        seeds.groupBy("seed")
-        .agg(
-            F.min("doc_id").alias("other"), F.min(F.expr(_PLACE)).alias("first"), F.max("doc_id").alias("last"),
-            F.count(F.lit(1)).alias("places"), F.min_by("context", F.expr(_PLACE)).alias("usual"),
-        )
-        .where("last > other")
-        .selectExpr("seed", "other", _other_pos(), "places", "usual")
-    )
-    # Two places of a seed are compared with each other; of more, those that go on as the first one does need no more.
+    # One shuffle of the seeds: sorted, each finds its first holder in the rows before it.
     matched = store(
-        seeds.join(anchors.hint("merge"), "seed")
-        .withColumn("further", F.expr("places > 2 and context <> usual"))
-        .where("doc_id > other or further")
-        .selectExpr(
-            "doc_id", "other", "pos", "other_pos", "context is not null as long",
-            "if(further, seed, null) as seed", "if(further, context, null) as context",
-        ),
+        docs.mapInArrow(_seeds, "doc_id long, seed long, pos int, context long")
+        .repartition("seed")
+        .sortWithinPartitions("seed", "doc_id", "pos", "context")
+        .mapInArrow(_matched, "doc_id long, other long, pos int, other_pos int, long boolean, seed long, context long"),
         "matched",
     )
     columns = ["doc_id", "other", "pos", "other_pos", "long"]
@@ -424,19 +521,20 @@ def aligned_spans(docs: DataFrame) -> DataFrame:
     def wanted(side: int, doc: str, at: str) -> DataFrame:
         begin = F.greatest(F.lit(0), F.element_at(at, 1) - MARGIN)
         end = F.element_at(at, -1) + KMER + MARGIN
-        return chains.select("chain", F.lit(side).alias("side"), F.col(doc).alias("doc_id"), begin.alias("begin"), end.alias("end"))
+        return chains.select(
+            F.col(doc).alias("doc_id"),
+            F.struct("chain", F.lit(side).alias("side"), begin.alias("begin"), end.alias("end")).alias("range"),
+        )
 
+    # A text is read once for the chains of one slice of them, at most SLICE, so a list of ranges stays small.
     both = wanted(0, "doc_id", "xs").union(wanted(1, "other", "ys"))
-    texts = docs.join(both.hint("merge"), "doc_id").select("doc_id", "chain", "side", "begin", "end", "text")
-    cut = texts.mapInArrow(_cut_words, "chain long, side int, begin int, words binary")
-    heads = chains.select(
-        "chain", F.explode(F.array(
-            F.struct(F.lit(0).alias("side"), F.col("doc_id").alias("doc"), F.col("xs").alias("seeds")),
-            F.struct(F.lit(1).alias("side"), F.col("other").alias("doc"), F.col("ys").alias("seeds")),
-        )).alias("h")
-    ).select("chain", "h.*")
+    both = both.groupBy("doc_id", F.expr(f"range.chain div {SLICE}").alias("slice")).agg(F.collect_list("range").alias("wanted"))
+    cut = docs.join(both.hint("merge"), "doc_id").select("wanted", "text").mapInArrow(
+        _cut_words, "chain long, side int, begin int, words binary"
+    )
+    heads = chains.select("chain", F.lit(2).alias("side"), "doc_id", "other", "xs", "ys")
     aligned = store(
-        cut.join(heads.hint("merge"), ["chain", "side"])
+        cut.unionByName(heads, allowMissingColumns=True)
         .repartition("chain")
         .sortWithinPartitions("chain", "side")
         .mapInArrow(_aligned, "doc_id long, other long, begin long, end long"),
@@ -448,15 +546,19 @@ def aligned_spans(docs: DataFrame) -> DataFrame:
 @F.arrow_udf(StringType())
 def without_ranges(text: pa.Array, passages: pa.Array) -> pa.Array:
     """``text`` without the given word ranges and the space behind each (null ranges: unchanged)."""
+    rows = pc.indices_nonzero(pc.fill_null(pc.list_value_length(passages), 0))
+    words = Words(text.take(rows))
+    raw, cut = words.data.tobytes(), []
+    for i, ranges in enumerate(passages.take(rows).to_pylist()):
+        parts, at, end = [], int(words.offsets[i]), int(words.offsets[i + 1])
+        first, last = words.first[i], words.first[i + 1]
+        for r in ranges:
+            parts.append(raw[at : words.starts[first + r["begin"]]])
+            at = words.starts[first + r["end"]] if first + r["end"] < last else end
+        cut.append(b"".join([*parts, raw[at:end]]).decode())
     out = text.to_pylist()
-    for i, ranges in enumerate(passages.to_pylist()):
-        if ranges and out[i] is not None:
-            words = Words(pa.array([out[i]], pa.string()))
-            raw, parts, at = words.data.tobytes(), [], 0
-            for r in ranges:
-                parts.append(raw[at : words.starts[r["begin"]]])
-                at = words.starts[r["end"]] if r["end"] < len(words.starts) else len(raw)
-            out[i] = b"".join([*parts, raw[at:]]).decode()
+    for i, changed in zip(rows.to_pylist(), cut):
+        out[i] = changed
     return pa.array(out, pa.string())
 
 
