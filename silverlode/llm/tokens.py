@@ -1,10 +1,12 @@
 """Token ids of whole texts through the ``tokenizers`` library, with a cache of text chunks.
 
 Both tokenizers cut a text into runs of letters, digits and marks before they merge
-bytes, so such a run has the same ids wherever it stands.  Runs are encoded once per
-worker and looked up afterwards; the cache is emptied at ``CACHE_SIZE`` entries, which
-changes time, never ids.  Texts with characters outside the Latin blocks, for which the
-two libraries may class characters differently, are encoded directly.
+bytes, and always before a space with a character other than white space behind it.  So what
+stands between such spaces has the same ids wherever it stands.  These chunks are looked
+up, unknown ones are put together from their runs, and runs are encoded once per worker;
+a cache is emptied at ``CACHE_SIZE`` entries, which changes time, never ids.  Where a space is amidst other white space the text is cut
+into the runs themselves.  Texts with characters outside the Latin blocks, for which the two
+libraries may class characters differently, are encoded directly.
 """
 
 from __future__ import annotations
@@ -19,9 +21,12 @@ LONGEST_CACHED = 64
 PIECE_CHARS = 600_000
 # Control characters 1C to 1F are white space to one library only.
 _ODD = re.compile("[^\x00-\x1b\x20-ɏ‐-‧€]")
+_ODD_ASCII = ("\x1c", "\x1d", "\x1e", "\x1f")
+# A space that belongs to a run of white space and not to the word behind it.
+_AMIDST = re.compile(r"\s (?:\s|\Z)")
 # For byte-level BPE a single space belongs to the run behind it.
-_WITH_SPACE = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W_]+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
 _NO_SPACE = re.compile(r"'(?:[stmd]|re|ve|ll)|[^\W_]+|(?:[^\w\s]|_)+")
+_WITH_SPACE = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W_]+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+")
 
 _ENCODERS: dict[str, Encoder] = {}
 
@@ -35,15 +40,33 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.keeps_space = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
         self.cache: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
     def _chunks(self, text: str) -> list[str] | None:
-        if _ODD.search(text):
+        if any(c in text for c in _ODD_ASCII) if text.isascii() else _ODD.search(text):
             return None
-        return _WITH_SPACE.findall(text) if self.keeps_space else _NO_SPACE.findall(text.lower())
+        if not self.keeps_space:
+            return text.lower().split()
+        if _AMIDST.search(text):
+            return _WITH_SPACE.findall(text)
+        # Each chunk but the first begins with its space.
+        return text.replace(" ", "\0 ").split("\0") if "\0" not in text else _WITH_SPACE.findall(text)
+
+    def _encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        cut = (_WITH_SPACE if self.keeps_space else _NO_SPACE).findall
+        parts = [cut(c) for c in chunks]
+        if len(self.runs) > CACHE_SIZE:
+            self.runs.clear()
+        own = {r: self.runs.get(r) for runs in parts for r in runs}
+        new = [r for r, ids in own.items() if ids is None]
+        fresh = dict(zip(new, self._encode(new)))
+        own.update(fresh)
+        self.runs.update((r, ids) for r, ids in fresh.items() if len(r) <= LONGEST_CACHED)
+        return {c: b"".join(map(own.__getitem__, runs)) for c, runs in zip(chunks, parts)}
 
     def _piece(self, texts: list[str]) -> Iterator[bytes]:
         chunked = [self._chunks(t) for t in texts]
@@ -56,7 +79,7 @@ class Encoder:
         # The piece's own few entries stay close to the processor.
         own = {c: self.cache.get(c) for c in seen}
         new = [c for c, ids in own.items() if ids is None]
-        fresh = dict(zip(new, self._encode(new)))
+        fresh = self._encode_chunks(new)
         own.update(fresh)
         self.cache.update((c, ids) for c, ids in fresh.items() if len(c) <= LONGEST_CACHED)
         of = own.__getitem__
