@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import keyed_groups, store, unused
+from silverlode.llm.common import keyed_groups, store, tidy, unused
 from silverlode.llm.graph import components
 from silverlode.llm.words import Words, mix, shingles, slices
 
@@ -206,14 +206,14 @@ def signatures(docs: DataFrame) -> tuple[DataFrame, int]:
     placed = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
     sent = (
         placed.select("chunk", "text").repartition("chunk").sortWithinPartitions("chunk")
-        .mapInArrow(_chunk_shingles(chunks), "range int, chunk int, keys binary, counts binary")
+        .mapInArrow(tidy(_chunk_shingles(chunks)), "range int, chunk int, keys binary, counts binary")
     )
     frequencies = store(
-        sent.repartition("range").sortWithinPartitions("range").mapInArrow(_totals, "chunk int, range int, frequencies binary"),
+        sent.repartition("range").sortWithinPartitions("range").mapInArrow(tidy(_totals), "chunk int, range int, frequencies binary"),
         "frequencies",
     )
     both = placed.withColumn("range", F.lit(-1)).unionByName(frequencies, allowMissingColumns=True)
-    signed = both.repartition("chunk").sortWithinPartitions("chunk", "range").mapInArrow(_signatures(documents), _SIGNED)
+    signed = both.repartition("chunk").sortWithinPartitions("chunk", "range").mapInArrow(tidy(_signatures(documents)), _SIGNED)
     return store(signed, "signatures"), documents
 
 
@@ -291,7 +291,7 @@ def _compare(groups: DataFrame, texts: DataFrame, documents: int, label: str) ->
         groups.join(texts.hint("merge"), "node")
         .repartition("bucket", "block")
         .sortWithinPartitions("bucket", "block")
-        .mapInArrow(_links(documents), "u long, v long"),
+        .mapInArrow(tidy(_links(documents)), "u long, v long"),
         label,
     )
 

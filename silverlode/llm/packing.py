@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import store
+from silverlode.llm.common import store, tidy
 from silverlode.llm.tokens import encoder, tokenizer_path
 from silverlode.llm.words import mix
 
@@ -133,7 +133,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, si
     path = tokenizer or tokenizer_path(TOKENIZER)
     coded = store(
         docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .mapInArrow(_tokenise(path, end_id), "row long, doc_id long, doc_tokens long, x double, y double, z double, ids binary"),
+        .mapInArrow(tidy(_tokenise(path, end_id)), "row long, doc_id long, doc_tokens long, x double, y double, z double, ids binary"),
         "coded",
     )
     axes = ["x", "y", "z"]
@@ -151,7 +151,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, si
     order = store(
         coded.select("row", "doc_tokens", key(*axes).alias("key")), "curve"
     ).repartitionByRange("key", "row").sortWithinPartitions("key", "row")
-    placed = store(order.mapInArrow(_running, "row long, part int, before long, doc_tokens long"), "placed")
+    placed = store(order.mapInArrow(tidy(_running), "row long, part int, before long, doc_tokens long"), "placed")
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = placed.groupBy("part").agg(F.sum("doc_tokens").alias("tokens"))
     parts = store(parts.select("part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base")), "parts")
@@ -159,6 +159,6 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, si
     return coded.select("row", "doc_id", "doc_tokens", "ids").join(places, "row").select(
         "doc_id", "place", "doc_tokens", "ids"
     ).mapInArrow(
-        _cut(size),
+        tidy(_cut(size)),
         "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary",
     )

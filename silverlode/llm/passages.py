@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from silverlode.llm.common import keyed_groups, quoted, store, unused
+from silverlode.llm.common import keyed_groups, quoted, store, tidy, unused
 from silverlode.llm.words import Words, mix, shingles, slices
 
 KMER = 5
@@ -485,7 +485,7 @@ def _further_matches(docs: DataFrame, places: DataFrame) -> DataFrame:
     several = usual.groupBy("seed").agg(F.min("other").alias("least"), F.max("other").alias("most")).where("most > least")
     asked = usual.join(several.hint("merge"), "seed", "left_semi").groupBy(F.col("other").alias("doc_id"))
     asked = store(asked.agg(F.sort_array(F.collect_set("other_pos")).alias("places")), "asked")
-    runs = store(docs.join(asked, "doc_id").mapInArrow(_runs, "doc_id long, run long, shift int, pos int"), "runs")
+    runs = store(docs.join(asked, "doc_id").mapInArrow(tidy(_runs), "doc_id long, run long, shift int, pos int"), "runs")
     holders = runs.groupBy("run", "shift").agg(*first).where("last > other").selectExpr("run", "shift", "other", _other_pos())
     equal = runs.join(holders.hint("merge"), ["run", "shift"]).where("doc_id > other")
     columns = ["doc_id", "other", "pos", "other_pos"]
@@ -502,10 +502,10 @@ def aligned_spans(docs: DataFrame) -> DataFrame:
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # One shuffle of the seeds: sorted, each finds its first holder in the rows before it.
     matched = store(
-        docs.mapInArrow(_seeds, "doc_id long, seed long, pos int, context long")
+        docs.mapInArrow(tidy(_seeds), "doc_id long, seed long, pos int, context long")
         .repartition("seed")
         .sortWithinPartitions("seed", "doc_id", "pos", "context")
-        .mapInArrow(_matched, "doc_id long, other long, pos int, other_pos int, long boolean, seed long, context long"),
+        .mapInArrow(tidy(_matched), "doc_id long, other long, pos int, other_pos int, long boolean, seed long, context long"),
         "matched",
     )
     columns = ["doc_id", "other", "pos", "other_pos", "long"]
@@ -513,7 +513,7 @@ def aligned_spans(docs: DataFrame) -> DataFrame:
     chains = store(
         matches.repartition("doc_id")
         .sortWithinPartitions("doc_id", "other", "pos")
-        .mapInArrow(_chains, "doc_id long, other long, xs array<int>, ys array<int>")
+        .mapInArrow(tidy(_chains), "doc_id long, other long, xs array<int>, ys array<int>")
         .withColumn("chain", F.monotonically_increasing_id()),
         "chains",
     )
@@ -530,14 +530,14 @@ def aligned_spans(docs: DataFrame) -> DataFrame:
     both = wanted(0, "doc_id", "xs").union(wanted(1, "other", "ys"))
     both = both.groupBy("doc_id", F.expr(f"range.chain div {SLICE}").alias("slice")).agg(F.collect_list("range").alias("wanted"))
     cut = docs.join(both.hint("merge"), "doc_id").select("wanted", "text").mapInArrow(
-        _cut_words, "chain long, side int, begin int, words binary"
+        tidy(_cut_words), "chain long, side int, begin int, words binary"
     )
     heads = chains.select("chain", F.lit(2).alias("side"), "doc_id", "other", "xs", "ys")
     aligned = store(
         cut.unionByName(heads, allowMissingColumns=True)
         .repartition("chain")
         .sortWithinPartitions("chain", "side")
-        .mapInArrow(_aligned, "doc_id long, other long, begin long, end long"),
+        .mapInArrow(tidy(_aligned), "doc_id long, other long, begin long, end long"),
         "aligned",
     )
     return aligned.groupBy("doc_id").agg(F.collect_set(F.struct("other", "begin", "end")).alias("spans"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import store
+from silverlode.llm.common import store, tidy
 from silverlode.llm.tokens import encoder, tokenizer_path
 from silverlode.session import scratch_path
 
@@ -162,7 +162,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
         .repartitionByRange("doc_id", "n")
         .sortWithinPartitions("doc_id", "n")
     )
-    ordered.drop("n").mapInArrow(_write_rows(tokenizer or tokenizer_path(TOKENIZER), end_id), _FILE_ROW).write.parquet(path)
+    ordered.drop("n").mapInArrow(tidy(_write_rows(tokenizer or tokenizer_path(TOKENIZER), end_id)), _FILE_ROW).write.parquet(path)
 
 
 def _read_rows(digests: bool):
@@ -204,7 +204,7 @@ def read_token_files(spark: SparkSession, path: str, digests: bool = False) -> D
         "bases",
     )
     return rows.join(bases, ["part", "row"]).select("doc_ids", "lengths", "blocks", "words", "base").mapInArrow(
-        _read_rows(digests), "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digests else "ids binary")
+        tidy(_read_rows(digests)), "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digests else "ids binary")
     )
 
 

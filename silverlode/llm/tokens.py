@@ -30,7 +30,7 @@ CACHE_SIZE = 1_500_000
 _PLACES = 1 << 21
 #: Longer chunks are encoded in every batch anew.
 LONGEST_CACHED = 24
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 2_000_000
 _MOST_IDS = 8_000_000
 
 _SPACES = np.zeros(256, bool)
