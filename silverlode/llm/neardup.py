@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import keyed_groups, store, tidy, unused
+from silverlode.llm.common import drop_shuffles, keyed_groups, store, tidy, unused
 from silverlode.llm.graph import components
 from silverlode.llm.words import Words, mix, shingles, slices
 
@@ -212,9 +212,12 @@ def signatures(docs: DataFrame) -> tuple[DataFrame, int]:
         sent.repartition("range").sortWithinPartitions("range").mapInArrow(tidy(_totals), "chunk int, range int, frequencies binary"),
         "frequencies",
     )
+    drop_shuffles(docs.sparkSession)
     both = placed.withColumn("range", F.lit(-1)).unionByName(frequencies, allowMissingColumns=True)
     signed = both.repartition("chunk").sortWithinPartitions("chunk", "range").mapInArrow(tidy(_signatures(documents)), _SIGNED)
-    return store(signed, "signatures"), documents
+    signed = store(signed, "signatures")
+    drop_shuffles(docs.sparkSession)
+    return signed, documents
 
 
 # --- verification -----------------------------------------------------------------------

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from silverlode.llm.common import keyed_groups, quoted, store, tidy, unused
+from silverlode.llm.common import drop_shuffles, keyed_groups, quoted, store, tidy, unused
 from silverlode.llm.words import Words, mix, shingles, slices
 
 KMER = 5
@@ -500,6 +500,7 @@ def aligned_spans(docs: DataFrame) -> DataFrame:
     themselves; repeated rows of one id are not compared with each other.
     """
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    drop_shuffles(docs.sparkSession)
     # One shuffle of the seeds: sorted, each finds its first holder in the rows before it.
     matched = store(
         docs.mapInArrow(tidy(_seeds), "doc_id long, seed long, pos int, context long")
@@ -508,6 +509,7 @@ def aligned_spans(docs: DataFrame) -> DataFrame:
         .mapInArrow(tidy(_matched), "doc_id long, other long, pos int, other_pos int, long boolean, seed long, context long"),
         "matched",
     )
+    drop_shuffles(docs.sparkSession)
     columns = ["doc_id", "other", "pos", "other_pos", "long"]
     matches = matched.where("doc_id > other").select(*columns).union(_further_matches(docs, matched.where("seed is not null")).select(*columns))
     chains = store(
