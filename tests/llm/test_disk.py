@@ -1,8 +1,7 @@
-"""Shuffle files that a finished step leaves behind."""
+"""Shuffle files that a stored result leaves behind."""
 
 from __future__ import annotations
 
-import gc
 import time
 from pathlib import Path
 
@@ -10,20 +9,18 @@ from silverlode.llm import common
 
 
 def test_shuffles_of_stored_results_go(spark):
-    local = Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].toString())
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders = [Path(d.toString()) for d in manager.localDirs()]
 
-    def held() -> int:
-        return sum(1 for _ in local.glob("*/shuffle_*.data"))
+    def held() -> set[Path]:
+        return {f for folder in folders for f in folder.glob("*/shuffle_*.data")}
 
-    common.drop_shuffles(spark)
-    time.sleep(2)
-    before = held()
-    common.store(spark.range(1000).repartition(4, "id"), "spread")
-    assert held() > before
-    gc.collect()
+    before, setting = held(), spark.conf.get(common._CLEAN_UP, None)
+    found = common.store(spark.range(1000).repartition(4, "id"), "spread")
     for _ in range(20):
-        common.drop_shuffles(spark)
-        time.sleep(0.5)
-        if held() <= before:
+        if not held() - before:
             break
-    assert held() <= before
+        time.sleep(0.1)
+    assert not held() - before
+    assert spark.conf.get(common._CLEAN_UP, None) == setting
+    assert found.count() == 1000
