@@ -51,6 +51,12 @@ def _documents(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield shingles(hashes[a:b], SHINGLE)
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """In ascending order; a sort is many times faster than the hash table of ``np.unique``."""
+    values = np.sort(values)
+    return values[np.concatenate([np.ones(min(len(values), 1), bool), values[1:] != values[:-1]])]
+
+
 # --- document frequencies ---------------------------------------------------------------
 
 
@@ -63,7 +69,7 @@ def _chunk_shingles(ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in keyed_groups(batches, ["chunk"]):
-            names, n = np.unique(np.concatenate([np.unique(f) for f in _documents(_rows(group))]), return_counts=True)
+            names, n = np.unique(np.concatenate([_distinct(f) for f in _documents(_rows(group))]), return_counts=True)
             if not len(names):
                 continue
             place = ((names >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
@@ -125,40 +131,51 @@ class Sampler:
         self.odd = mix(np.arange(samples, dtype=np.uint64) + np.uint64(99)) | np.uint64(1)
         self.documents = documents
         weights = inverse_frequency(np.arange(1, _TABLES + 1), documents)
-        self.tables = np.stack([self._keys(np.arange(_CELLS), np.log(w)) for w in weights])
+        self.tables = np.concatenate([self._keys(np.arange(_CELLS), np.log(w)) for w in weights])
 
     def _keys(self, cell: np.ndarray, log_weight) -> np.ndarray:
-        t = np.floor(log_weight / self.r[cell] + self.b[cell])
-        a = (self.log_c[cell] - self.r[cell] * (t - self.b[cell] + 1)).astype(np.float32)
+        r, b = self.r[cell], self.b[cell]
+        t = np.floor(log_weight / r + b)
+        a = (self.log_c[cell] - r * (t - b + 1)).astype(np.float32)
         bits = a.view(np.uint32)
         # order-preserving: flip all bits of negatives, the sign bit of others
-        bits = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))
-        return bits.astype(np.uint64) << np.uint64(32)
+        return np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))
 
-    def sample(self, found: np.ndarray, count: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """One key per sample of shingles with their counts and document frequencies.
+    def sample(self, found: np.ndarray, count: np.ndarray, n: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """One key per text and sample, of shingles with their counts and document frequencies.
 
-        Equal keys mean that the same feature won at the same level.
+        Those of a text begin at ``first``; none of the texts is without.  Equal keys mean
+        that the same feature won at the same level.
         """
-        best = np.full(len(self.odd), np.iinfo(np.uint64).max, np.uint64)
-        log_weight = np.log(inverse_frequency(n, self.documents) * (1 + np.log(count)))
+        best = np.empty((len(first), len(self.odd)), np.uint64)
         listed = (count == 1) & (n <= _TABLES)
-        for start in range(0, len(found), 4096):
-            part = slice(start, start + 4096)
-            h, known = found[part], listed[part]
-            cell = ((h[:, None] * self.odd[None, :]) >> np.uint64(48)).astype(np.int64)
-            keys = self.tables[np.where(known, n[part].astype(np.int64) - 1, 0)[:, None], cell]
-            other = np.flatnonzero(~known)
+        other = np.flatnonzero(~listed)
+        log_weight = np.log(inverse_frequency(n[other], self.documents) * (1 + np.log(count[other])))
+        table = np.where(listed, (n.astype(np.int64) - 1) * _CELLS, 0)
+        low = found & np.uint64(0xFFFFFFFF)
+        for i, odd in enumerate(self.odd):
+            cell = ((found * odd) >> np.uint64(48)).view(np.int64)
+            bits = self.tables.take(table + cell, mode="clip")
             if len(other):
-                keys[other] = self._keys(cell[other], log_weight[part][other][:, None])
-            keys |= (h & np.uint64(0xFFFFFFFF))[:, None]
-            best = np.minimum(best, keys.min(0))
+                bits[other] = self._keys(cell[other], log_weight)
+            keys = bits.astype(np.uint64) << np.uint64(32)
+            keys |= low
+            best[:, i] = np.minimum.reduceat(keys, first)
         return best
 
 
 _SIGNED = "doc_id long, one long, two long, bands array<long>, frequencies binary, text string"
 
 
+def _in_order(values: np.ndarray, totals: np.ndarray) -> np.ndarray:
+    """For each value that of ``totals``, which has one entry per distinct value, ascending."""
+    order = np.argsort(values)
+    values = values[order]
+    found = np.empty(len(values), totals.dtype)
+    found[order] = totals[np.cumsum(np.concatenate([np.zeros(min(len(values), 1), bool), values[1:] != values[:-1]]))]
+    return found
+
+
 def _signatures(documents: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(BANDS * ROWS, documents)
@@ -167,21 +184,38 @@ def _signatures(documents: int):
             rows = group.filter(pc.is_null(group.column("frequencies")))
             totals = group.filter(pc.is_valid(group.column("frequencies"))).column("frequencies").to_pylist()
             totals = np.frombuffer(b"".join(totals), "<u4")
-            texts = list(_documents(_rows(rows)))
-            names = np.unique(np.concatenate(texts))
+            texts = [np.unique(found, return_counts=True) for found in _documents(_rows(rows))]
+            ends = np.cumsum([len(unique) for unique, _ in texts])
+            frequency = _in_order(np.concatenate([unique for unique, _ in texts]), totals)
             one, two, bands, frequencies = [], [], [], []
-            for found in texts:
-                if not len(found):
+            held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+
+            def sample() -> None:
+                """Bands of the texts held back."""
+                rows, *parts = zip(*held)
+                first = np.cumsum([0, *map(len, parts[0])])[:-1]
+                keys = sampler.sample(*map(np.concatenate, parts), first).reshape(-1, BANDS, ROWS)
+                for row, found in zip(rows, mix((keys * spread).sum(2)).view(np.int64)):
+                    bands[row] = found
+                held.clear()
+
+            size = 0
+            for row, ((unique, count), n) in enumerate(zip(texts, np.split(frequency, ends[:-1]))):
+                if not len(unique):
                     one.append(None), two.append(None), bands.append(None), frequencies.append(None)
                     continue
-                unique, count = np.unique(found, return_counts=True)
-                n = totals[np.searchsorted(names, unique)]
                 marked = mix(unique + np.uint64(31) * count.astype(np.uint64))
                 one.append(int(np.bitwise_xor.reduce(marked).view(np.int64)))
                 two.append(int(marked.sum().view(np.int64)))
-                keys = sampler.sample(unique, count, n).reshape(BANDS, ROWS)
-                bands.append(mix((keys * spread).sum(1)).view(np.int64))
+                bands.append(None)
                 frequencies.append(n.tobytes())
+                held.append((row, unique, count, n))
+                size += len(unique)
+                if size >= _CELLS:
+                    sample()
+                    size = 0
+            if held:
+                sample()
             yield pa.RecordBatch.from_arrays(
                 [
                     _rows(rows, "doc_id").column(0), pa.array(one, pa.int64()), pa.array(two, pa.int64()),
