@@ -16,9 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from silverlode.llm.common import quoted, store, unused
-from silverlode.llm.words import Words, shingles
+from silverlode.llm.common import quoted, release_memory, store, unused
+from silverlode.llm.words import Words, shingles, slices
 
+#: Text bytes whose words are counted together.
+PIECE_BYTES = 1_000_000
 CELL = math.log(1.005)
 #: Fences lie this many spreads outside the quartiles; a spread is the quartile distance,
 #: but at least the value given with the ratio.
@@ -53,9 +55,7 @@ def _repeat_words(hashes: np.ndarray) -> int:
     return int((np.cumsum(edges)[:-1] > 0).sum())
 
 
-@F.arrow_udf(StructType([StructField(c, LongType()) for c in _COUNTS]))
-def text_counts(text: pa.Array) -> pa.Array:
-    """The base counts of whole texts; null texts have none."""
+def _piece_counts(text: pa.Array) -> pa.StructArray:
     words = Words(text)
     hashes = words.hashes()
     lead = np.concatenate([[0], np.cumsum(words._inside & ((words.data & 0xC0) != 0x80))])
@@ -71,6 +71,20 @@ def text_counts(text: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], list(_COUNTS))
 
 
+def counts(text: pa.Array) -> pa.Array:
+    """The base counts of whole texts; null texts have none.
+
+    Texts are counted in small pieces, whose arrays are given back at the end.
+    """
+    pieces = slices(pa.RecordBatch.from_arrays([text], ["text"]), "text", PIECE_BYTES)
+    found = [_piece_counts(piece.column("text")) for piece in pieces]
+    release_memory()
+    return pa.concat_arrays(found) if found else _piece_counts(text)
+
+
+text_counts = F.arrow_udf(counts, StructType([StructField(c, LongType()) for c in _COUNTS]))
+
+
 def _cell(ratio: Column) -> Column:
     """The logarithmic cell of a ratio; zero has a cell of its own, below all others."""
     return F.when(ratio > 0, F.floor(F.ln(ratio) / F.lit(CELL))).otherwise(F.lit(-(10**6))).cast("int")

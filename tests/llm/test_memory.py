@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from silverlode.llm import common, neardup
+from silverlode.llm import common, neardup, quality
 from silverlode.llm.words import Words
 
 
@@ -43,6 +43,15 @@ def _peak_mb(run) -> float:
         tracemalloc.stop()
 
 
+def test_the_words_of_a_batch_are_counted_in_pieces():
+    texts = pa.array([" ".join(f"w{i * j % 9973}" for i in range(4000)) for j in range(1, 320)] + [None, ""])
+    assert texts.nbytes > 6e6
+    assert _peak_mb(lambda: quality.counts(texts)) < 60
+    parts = pa.concat_arrays([quality.counts(texts.slice(i, 1)) for i in range(len(texts))])
+    assert quality.counts(texts).equals(parts)
+    assert len(quality.counts(texts.slice(0, 0))) == 0
+
+
 def test_words_are_hashed_in_blocks():
     texts = [" ".join(f"word{i * j % 9973}" for i in range(3000)) for j in range(1, 200)]
     words = Words(pa.array([*texts, "x" * 300_000 + " y", None, ""]))
