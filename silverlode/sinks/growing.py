@@ -101,6 +101,10 @@ class GrowingTable:
         quoted = ", ".join(f"`{k}`" for k in self.keys)
         self._hashes = {"_hash": F.expr(f"xxhash64({quoted})"), "_probe": F.expr(f"xxhash64({quoted}, 1)")}
 
+    def _hashed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with both hashes of their keys, which are computed where they are read and never stored or shuffled."""
+        return rows.withColumns(self._hashes)
+
     # --- versions ---------------------------------------------------------------
     def _files(self):
         return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
@@ -185,9 +189,10 @@ class GrowingTable:
         """Write ``rows`` as one load and publish it; returns the number of rows of the table.
 
         ``rewritten`` buckets hold nothing else afterwards and are split until none is too
-        large; others get a fragment more.  ``rows`` carry both hashes and are a stored copy.
+        large; others get a fragment more.  ``rows`` are a stored copy.
         """
         load = f"load-{uuid.uuid4().hex}"
+        rows = self._hashed(rows)
         kept = {f.bucket for f in directory} - rewritten
         own = set(rewritten)
         while True:
@@ -201,24 +206,29 @@ class GrowingTable:
             for (depth, bits), n in counts.items()
         ]
         placed = self._placed(rows, kept | own)
-        placed.selectExpr(*self._names, _BUCKET).hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(
-            f"{self.root}/rows/{load}"
-        )
-        self._filters(placed, new).write.parquet(f"{self.root}/filters/{load}")
+        laid_out = placed.selectExpr(*self._names, _BUCKET).hint("rebalance", "_bucket")
+        laid_out.write.option("compression", "zstd").partitionBy("_bucket").parquet(f"{self.root}/rows/{load}")
+        self._filters(load, new).write.option("compression", "zstd").parquet(f"{self.root}/filters/{load}")
         old = [f for f in directory if f.load and f.bucket in kept]
         filled = {f.bucket for f in [*old, *new]}
         result = [*old, *new, *[Fragment(*b) for b in (kept | own) - filled]]
         self._publish(result)
         return sum(f.rows for f in result)
 
-    def _filters(self, placed: DataFrame, fragments: list[Fragment]) -> DataFrame:
-        """(_bucket, block, word): the bits of all keys of a fragment, OR-ed per block; sorted, so that readers skip row groups."""
-        sizes = self._frame([(f.depth, f.bits, f.blocks) for f in fragments], "_depth INT, _bits BIGINT, blocks BIGINT")
-        marks = placed.join(sizes, ["_depth", "_bits"]).selectExpr(
-            _BUCKET, f"{key_block('_probe', 'blocks')} AS block", f"{key_mask('_probe')} AS mask"
+    def _filters(self, load: str, fragments: list[Fragment]) -> DataFrame:
+        """(_bucket, block, word): the bits of all keys of a fragment, OR-ed per block; sorted within files.
+
+        Keys come from the files that the load has written: they lie together by bucket, so
+        most of a block is combined where it is read.
+        """
+        sizes = self._frame([(f.name, f.blocks) for f in fragments], "_bucket STRING, blocks BIGINT")
+        stored = T.StructType([*self.schema.fields, T.StructField("_bucket", T.StringType())])
+        written = self._hashed(self.spark.read.schema(stored).parquet(f"{self.root}/rows/{load}"))
+        marks = written.join(sizes, "_bucket").selectExpr(
+            "_bucket", f"{key_block('_probe', 'blocks')} AS block", f"{key_mask('_probe')} AS mask"
         )
         words = marks.groupBy("_bucket", "block").agg(F.expr("bit_or(mask)").alias("word"))
-        return words.repartitionByRange("_bucket", "block").sortWithinPartitions("_bucket", "block")
+        return words.sortWithinPartitions("_bucket", "block")
 
     # --- probing ----------------------------------------------------------------
     def known_fragments(self, rows: DataFrame, directory: list[Fragment] | None = None) -> list[Fragment]:
@@ -248,7 +258,7 @@ class GrowingTable:
     def near(self, rows: DataFrame) -> DataFrame:
         """The stored rows of the buckets that the keys of ``rows`` fall into; no other bucket is read."""
         directory = self.directory()
-        touched = self._counts(rows.select(*self.keys).withColumns(self._hashes), {f.bucket for f in directory})
+        touched = self._counts(self._hashed(rows.select(*self.keys)), {f.bucket for f in directory})
         return self._read([f for f in directory if f.bucket in touched])
 
     # --- writing: rows have one row per complete key ---------------------------------
@@ -257,9 +267,9 @@ class GrowingTable:
 
         A bucket that would exceed its size or its number of fragments is written anew.
         """
-        fresh = pin(rows.select(*self._names).withColumns(self._hashes), "fresh")
+        fresh = pin(rows.select(*self._names), "fresh")
         directory = self.directory()
-        added = self._counts(fresh, {f.bucket for f in directory})
+        added = self._counts(self._hashed(fresh), {f.bucket for f in directory})
         if not added:
             return 0
         held, fragments = Counter(), Counter()
@@ -271,7 +281,7 @@ class GrowingTable:
         }
         current = [f for f in directory if f.load and f.bucket in crowded]
         if current:
-            refilled = pin(self._read(current).withColumns(self._hashes).unionByName(fresh), "refilled")
+            refilled = pin(self._read(current).unionByName(fresh), "refilled")
             self._store(refilled, directory, crowded)
         else:
             self._store(fresh, directory, crowded, added)
@@ -279,21 +289,21 @@ class GrowingTable:
 
     def upsert(self, rows: DataFrame) -> int:
         """Insert or replace by key; returns the number of keys added."""
-        fresh = pin(rows.select(*self._names).withColumns(self._hashes), "fresh")
+        fresh = pin(rows.select(*self._names), "fresh")
         directory = self.directory()
-        touched = self._counts(fresh, {f.bucket for f in directory})
+        touched = self._counts(self._hashed(fresh), {f.bucket for f in directory})
         if not touched:
             return 0
         current = [f for f in directory if f.load and f.bucket in touched]
         before = sum(f.rows for f in directory)
         if not current:
             return self._store(fresh, directory, set(touched), touched) - before
-        merged = pin(merge_rows(self._read(current).withColumns(self._hashes), fresh, self.keys), "merged")
+        merged = pin(merge_rows(self._read(current), fresh, self.keys), "merged")
         return self._store(merged, directory, set(touched)) - before
 
     def replace(self, rows: DataFrame) -> None:
         """Truncate and reload; ``rows`` may read the table."""
-        written = pin(rows.select(*self._names).withColumns(self._hashes), "replacement")
+        written = pin(rows.select(*self._names), "replacement")
         self._store(written, list(_START), {_START[0].bucket})
 
     def clean_up(self, keep: int = 2) -> int:

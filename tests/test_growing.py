@@ -265,3 +265,35 @@ def test_gold_built_by_increments_equals_gold_built_from_all_facts(spark, tmp_pa
     assert rows(incremental.daily_sales_summary(store)) == before
     with pytest.raises(ValueError):
         jobs.build_gold(store, AS_OF, datetime(2024, 4, 3), policy="upsert", incremental_kpis=True)
+
+
+def _stored_copies(monkeypatch):
+    """Label and columns of every copy that growing tables store aside."""
+    from silverlode.sinks import growing
+
+    found, pin = [], growing.pin
+
+    def noted(df, label):
+        found.append((label, df.columns))
+        return pin(df, label)
+
+    monkeypatch.setattr(growing, "pin", noted)
+    return found
+
+
+def test_copies_of_a_load_hold_no_hashes(spark, table, monkeypatch):
+    copies = _stored_copies(monkeypatch)
+    table.upsert(batch(spark, range(100), "a"))
+    table.upsert(batch(spark, range(50, 150), "b"))
+    assert {label for label, _ in copies} == {"fresh", "merged"}
+    assert all(columns == ["k", "v"] for _, columns in copies)
+    assert rows(table.read()) == rows(batch(spark, range(50), "a").union(batch(spark, range(50, 150), "b")))
+    assert not table.absent(batch(spark, range(150), "c")).count()
+
+
+def test_filters_are_built_from_the_written_files_without_a_range_shuffle(spark, table):
+    table.insert(batch(spark, range(200), "a"))
+    stored = [f for f in table.directory() if f.load]
+    plan = table._filters(stored[0].load, stored)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "_bucket" in plan
+    assert plan.count("hashpartitioning") == 1
