@@ -237,22 +237,25 @@ class GrowingTable:
         filled = [f for f in directory if f.load]
         if not filled:
             return []
-        placed = self._placed(rows.select(*self.keys).withColumns(self._hashes), {f.bucket for f in directory})
+        placed = self._placed(self._hashed(rows.select(*self.keys)), {f.bucket for f in directory})
+        # Keys and filters meet by the number of the fragment, not by names.
         held = self._frame(
-            [(f.depth, f.bits, f.load, f.blocks) for f in filled], "_depth INT, _bits BIGINT, load STRING, blocks BIGINT"
+            [(f.depth, f.bits, i, f.blocks) for i, f in enumerate(filled)], "_depth INT, _bits BIGINT, fragment INT, blocks BIGINT"
         )
+        names = self._frame([(f.load, f.name, i) for i, f in enumerate(filled)], "load STRING, _bucket STRING, fragment INT")
         asked = placed.select("_depth", "_bits", "_probe").join(held, ["_depth", "_bits"]).selectExpr(
-            "load", _BUCKET, f"{key_block('_probe', 'blocks')} AS block", f"{key_mask('_probe')} AS mask"
+            "fragment", f"{key_block('_probe', 'blocks')} AS block", f"{key_mask('_probe')} AS mask"
         )
         words = self.spark.read.schema("_bucket STRING, block BIGINT, word BIGINT").parquet(
             *[f"{self.root}/filters/{load}" for load in sorted({f.load for f in filled})]
         ).withColumn("load", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
-        hits = asked.join(words, ["load", "_bucket", "block"]).where("word & mask = mask").select("load", "_bucket").distinct()
-        known = set(map(tuple, hits.collect()))
-        return [f for f in filled if (f.load, f.name) in known]
+        numbered = words.join(names, ["load", "_bucket"]).select("fragment", "block", "word")
+        hits = asked.join(numbered, ["fragment", "block"]).where("word & mask = mask").select("fragment").distinct()
+        return [filled[i] for i in sorted(i for (i,) in hits.collect())]
 
     def absent(self, rows: DataFrame) -> DataFrame:
         """Rows (one per key) whose key is not stored; only fragments that may hold one are read."""
+        rows = pin(rows, "offered")  # read several times
         return absent_from(rows, self._read(self.known_fragments(rows)), self.keys)
 
     def near(self, rows: DataFrame) -> DataFrame:

@@ -297,3 +297,10 @@ def test_filters_are_built_from_the_written_files_without_a_range_shuffle(spark,
     plan = table._filters(stored[0].load, stored)._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan and "_bucket" in plan
     assert plan.count("hashpartitioning") == 1
+
+
+def test_offered_rows_are_computed_once(spark, table, monkeypatch):
+    table.insert(batch(spark, range(100), "a"))
+    copies = _stored_copies(monkeypatch)
+    assert rows(table.absent(batch(spark, range(90, 110), "b"))) == [(k, "b") for k in range(100, 110)]
+    assert ("offered", ["k", "v"]) in copies
