@@ -304,3 +304,15 @@ def test_offered_rows_are_computed_once(spark, table, monkeypatch):
     copies = _stored_copies(monkeypatch)
     assert rows(table.absent(batch(spark, range(90, 110), "b"))) == [(k, "b") for k in range(100, 110)]
     assert ("offered", ["k", "v"]) in copies
+
+
+def test_sales_batches_store_only_what_their_sums_need(spark, monkeypatch):
+    from workload import queries
+
+    copies, pin = {}, queries.pin
+    monkeypatch.setattr(queries, "pin", lambda df, label: copies.setdefault(label, pin(df, label)))
+    model = queries.Model(spark, "/root/testdata/sf0.001")
+    got = queries.product_performance_incremental(model)
+    assert copies["items"].columns == ["order_id", "product_id", "price", "line_total"]
+    assert copies["returned"].columns == ["order_id", "product_id", "return_reason", "refund_amount"]
+    assert rows(got) == rows(model.product_performance().select(*got.columns))
